@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -18,12 +19,53 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import scratch_path
+    from .warc import read_archives, write_archives
+
+    folder = scratch_path(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), folder).agg({"records": "sum"}).collect()
+    return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
     return pack(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op5_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .forest import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+#: The rules of op6 as (verdict, host, path).
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urlrank import judge
+
+    return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op7_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .multiset import fingerprint_edits
+
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op9_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = quality.remainder(F.col("doc_id"), 4) == 2
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = quality.score(docs, model)
+    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode_digests
 
