@@ -1,9 +1,10 @@
 """Operator 10: exact byte-pair encoding by backtracking, and decoding through an offset table.
 
 Encoder. Repeated merging of the best pair is replaced by a search over
-positions: an Aho-Corasick automaton finds at every position all vocabulary
-entries that start there; the encoder takes the longest that is compatible
-with the entry before it, and steps back when none is. Two entries are
+positions: an Aho-Corasick automaton finds the longest vocabulary entry at a
+position, and links lead from each entry to the next shorter one that begins
+it; the encoder takes the longest that is compatible with the entry before
+it, and steps back when none is. Two entries are
 compatible if merging their concatenation would give just these two, which
 is decided by undoing merges at their border, latest first, and is kept in a
 pair table. A position that failed once is never tried again, so the work is
@@ -21,7 +22,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -51,12 +54,30 @@ def _byte_letters() -> list[str]:
 _BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+class _Table(dict):
+    """A bounded table of encoded words: when it is full it becomes the old generation, from which words in use come back."""
+
+    def __init__(self, encode, keep: int):
+        self.encode, self.keep, self.old = encode, keep, {}
+
+    def __missing__(self, token: str) -> bytes:
+        ids = self.old.get(token)
+        if ids is None:
+            ids = self.encode(token)
+        if len(token) <= 64:
+            if len(self) >= self.keep:
+                self.old = dict(self)
+                self.clear()
+            self[token] = ids
+        return ids
+
+
 class WordBpe:
     """A word-level BPE vocabulary file of the tokenizers library: NFC, blanks to one space, lower case, split by a pattern, byte letters, merges with a word-end mark."""
 
     #: An offset that makes a last letter another letter than the same one inside a word.
     END = 0x10000
-    KEEP = 200_000  # words in the table of encoded words
+    KEEP = 400_000  # words in each of the two generations of the table of encoded words
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -65,7 +86,10 @@ class WordBpe:
         self.suffix = model["end_of_word_suffix"] or ""
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.split = regex.compile(pattern.replace(r"[^\s", "[^" + _BLANK))
-        self.simple = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \\t-\\r0-9a-z]+")
+        # The same pattern for texts of Latin-1 letters alone, which the plain engine takes faster.
+        letters, numbers = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe"
+        self.latin = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^ \t-\r\x85\xa0{letters}{numbers}]+")
+        self.not_latin = re.compile(r"[^\x00-\xff]")
         self.blanks = regex.compile(f"[{_BLANK}]+")
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = special
@@ -96,9 +120,12 @@ class WordBpe:
         for k, w in enumerate(self.coded):
             self.automaton.add_word(w, k)
         self.automaton.make_automaton()
+        self.coded_at = {w: k for k, w in enumerate(self.coded)}
         self.lengths = [len(w) for w in self.coded]
+        #: For each entry, the longest shorter one that begins it, or -1.
+        self.shorter = [next((self.coded_at[w[:i]] for i in range(len(w) - 1, 0, -1) if w[:i] in self.coded_at), -1) for w in self.coded]
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = _Table(self.word, self.KEEP)
 
         top = max(self.spelling) + 1
         texts = [(self.spelling.get(i, "")).encode() + b" " for i in range(top)]
@@ -120,7 +147,7 @@ class WordBpe:
         found = self.pairs.get(key)
         if found is None:
             found = self.pairs[key] = self._compatible(left, right)
-            if len(self.pairs) > 4 * self.KEEP:
+            if len(self.pairs) > self.KEEP:
                 self.pairs.clear()
         return found
 
@@ -142,68 +169,77 @@ class WordBpe:
 
     # -- words
 
-    def _word(self, word: str) -> bytes:
+    def _word(self, word: str) -> list[int]:
+        found = self.coded_at.get(word)
+        if found is not None:
+            return [found]
+        # First the longest entries from left to right; mostly few of them are incompatible.
+        lengths, pairs, shorter = self.lengths, self.pairs, self.shorter
+        longest: dict[int, int] = {}
+        pos, last, fine = 0, -1, True
+        for end, k in self.automaton.iter_long(word):
+            longest[end + 1 - lengths[k]] = k
+            if fine and last >= 0:
+                fits = pairs.get(last << 20 | k)
+                fine = fits if fits is not None else self.compatible(last, k)
+            last = k
+        if fine:
+            return list(longest.values())
         n = len(word)
-        at: list[list[int]] = [[] for _ in range(n)]
-        lengths = self.lengths
-        for end, k in self.automaton.iter(word):
-            at[end - lengths[k] + 1].append(k)
-        # Entries at a position come in order of their end, so the longest is last.
         out: list[int] = []
-        stack: list[int] = []
         dead = bytearray(n + 1)
-        pos = 0
-        choice = len(at[0]) - 1
+        last, k = -1, longest[0]
         while pos < n:
-            options = at[pos]
-            last = out[-1] if out else -1
-            while choice >= 0:
-                k = options[choice]
-                if not dead[pos + lengths[k]] and (last < 0 or self.compatible(last, k)):
-                    break
-                choice -= 1
-            if choice >= 0:
+            while k >= 0:
+                if not dead[pos + lengths[k]]:
+                    if last < 0:
+                        break
+                    fits = pairs.get(last << 20 | k)
+                    if fits if fits is not None else self.compatible(last, k):
+                        break
+                k = shorter[k]
+            if k >= 0:
                 out.append(k)
-                stack.append(choice)
+                last = k
                 pos += lengths[k]
-                choice = len(at[pos]) - 1 if pos < n else -1
+                if pos < n:
+                    k = longest.get(pos, -1)
+                    if k < 0:
+                        k = longest[pos] = next(self.automaton.iter_long(word, pos))[1]
             else:
                 dead[pos] = 1
                 if not out:
                     raise ValueError(f"no encoding for {word!r}")
-                pos -= lengths[out.pop()]
-                choice = stack.pop() - 1
-        ids = self.ids
-        return np.array([ids[k] for k in out], "<u4").tobytes()
+                k = out.pop()
+                pos -= lengths[k]
+                k = shorter[k]
+                last = out[-1] if out else -1
+        return out
 
     def word(self, token: str) -> bytes:
         """The ids (little-endian unsigned 32-bit) of one piece of the split."""
-        letters = self.letters
-        coded = [letters[b] for b in token.encode()]
+        if token.isascii() and token.isprintable():  # its letters stand for themselves
+            coded = token
+        else:
+            letters = self.letters
+            coded = "".join([letters[b] for b in token.encode()])
         if self.suffix:
-            coded[-1] = chr(ord(coded[-1]) + self.END)
-        return self._word("".join(coded))
+            coded = coded[:-1] + chr(ord(coded[-1]) + self.END)
+        ids = self.ids
+        out = array("I", [ids[k] for k in self._word(coded)])
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def _plain(self, text: str) -> list[bytes]:
-        if text.isascii():
-            tokens = self.simple.findall(text.lower())
+        if self.not_latin.search(text) is None:
+            tokens = self.latin.findall(text.lower())
         else:
             text = self.blanks.sub(" ", unicodedata.normalize("NFC", text))
             # Letter by letter: no rule for a final sigma.
             text = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
             tokens = self.split.findall(text)
-        words = self.words
-        out = []
-        for t in tokens:
-            ids = words.get(t)
-            if ids is None:
-                ids = self.word(t)
-                if len(t) <= 64:
-                    if len(words) >= self.KEEP:
-                        words.clear()
-                    words[t] = ids
-            out.append(ids)
-        return out
+        return list(map(self.words.__getitem__, tokens))
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text, as little-endian unsigned 32-bit integers."""
