@@ -213,3 +213,76 @@ def signed(x: np.ndarray) -> np.ndarray:
 def row_keys(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Columns __id and __rk, which name a row by its id and text: rows of one id with other texts stay apart."""
     return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("__id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("__rk"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+
+# ---------------------------------------------------------------- a filter of fixed size
+
+
+def key_filter(keys: DataFrame, column: str, bits: int = 1 << 23):
+    """A broadcast Bloom filter (two probes, `bits` bits whatever the input) of a long column.
+
+    It is or-ed together by word in Spark, so at most bits / 64 rows reach the
+    driver. Others than the keys may pass; a key always does.
+    """
+    spot = F.col(column).bitwiseAND(F.lit(bits - 1))
+    other = F.shiftrightunsigned(F.col(column), 32).bitwiseAND(F.lit(bits - 1))
+    spots = keys.select(F.explode(F.array(spot, other)).alias("p"))
+    words = spots.select(F.shiftright("p", 6).alias("w"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    found = np.zeros(bits // 64, np.int64)
+    rows = words.collect()
+    found[[r.w for r in rows]] = [r.b for r in rows]
+    return keys.sparkSession.sparkContext.broadcast(found)
+
+
+def may_hold(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the int64 keys may be in a key_filter's words."""
+    mask = len(words) * 64 - 1
+    bits = words.view(U64)
+
+    def probe(p: np.ndarray) -> np.ndarray:
+        return (bits[(p >> U64(6)).astype(np.int64)] >> (p & U64(63))) & U64(1)
+
+    unsigned = keys.view(U64)
+    return (probe(unsigned & U64(mask)) & probe((unsigned >> U64(32)) & U64(mask))).astype(bool)
+
+
+def filtered_texts(docs: DataFrame, keys, columns: list[str]) -> DataFrame:
+    """Rows of docs whose long column __rk may be in the filter, before they are shuffled."""
+    part = docs.select(*columns)
+    at = columns.index("__rk")
+
+    def run(batches):
+        words = keys.value
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(words, batch.column(at).to_numpy(zero_copy_only=False))))
+
+    return part.mapInArrow(run, part.schema)
+
+
+# ---------------------------------------------------------------- connected components
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 30) -> DataFrame:
+    """Rows (node, root) for all nodes of undirected edges; root is the smallest node of the component.
+
+    Large-star and small-star steps in turn, each a minimum by node joined back
+    to the node's edges, until every node hangs on its root. A round is written
+    to the shared folder, so a lost executor costs one round.
+    """
+    state = materialize(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct(), "edges")
+    before = None
+    for _ in range(most):
+        both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m"))
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+        large = large.where("u != v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
+        state = materialize(small.where("u != v").distinct(), "edges")
+        now = tuple(state.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
+        if now == before:
+            break
+        before = now
+    leaves = state.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
+    tops = state.select(F.col("v").alias("node")).distinct().join(leaves.select("node"), "node", "left_anti")
+    return leaves.union(tops.select("node", F.col("node").alias("root")))
