@@ -19,6 +19,13 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("__n_words").alias("n_words"), F.col("__n_removed").alias("n_removed"), F.col("__sha256").alias("kept_sha256"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import scratch_path
     from .warc import read_archives, write_archives
