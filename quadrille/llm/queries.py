@@ -69,6 +69,13 @@ def op7_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op8_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm import score_documents
+    from .quality import remainder
+
+    return score_documents(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 10) == 0)
+
+
 def op9_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality
 

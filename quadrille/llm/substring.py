@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 from .common import U64
@@ -172,7 +173,7 @@ def _cut(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, gone, digests, kept_texts = [], [], [], []
-            for text, runs in zip(batch.column("text"), batch.column("runs")):
+            for text, runs in zip(batch.column("__text"), batch.column("__runs")):
                 words = (text.as_py() or "").encode().split()
                 n, removed = len(words), 0
                 if runs.is_valid and len(runs):
@@ -188,16 +189,27 @@ def _cut(least: int):
                 gone.append(removed)
                 digests.append(hashlib.sha256(kept).hexdigest())
                 kept_texts.append(kept.decode() if removed else None)
-            rest = [c for c, name in zip(batch.columns, batch.schema.names) if name != "runs"]
-            names = [name for name in batch.schema.names if name != "runs"]
+            rest = [c for c, name in zip(batch.columns, batch.schema.names) if name not in ("__runs", "__text")]
+            names = [name for name in batch.schema.names if name not in ("__runs", "__text")]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string()), pa.array(kept_texts, pa.string())], names=[*names, "__n_words", "__n_removed", "__sha256", "__kept"])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, least: int = 35, seed: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows of docs (__id, __rk, doc_id, text) with __n_words, __n_removed, __sha256 of the kept words and, where words were removed, __kept (else null)."""
-    keyed = common.row_keys(docs, id_col, text_col)
-    runs = repeated_runs(keyed, least, seed).groupBy("__id", "__rk").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
-    joined = keyed.join(runs, ["__id", "__rk"], "left").select("__id", "__rk", "doc_id", "text", "runs")
-    return joined.mapInArrow(_cut(least), "__id long, __rk long, doc_id long, text string, __n_words long, __n_removed long, __sha256 string, __kept string")
+def remove_repeats(docs: DataFrame, least: int = 35, seed: int = 12, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """For each row of docs the columns in carry, __n_words, __n_removed, __sha256 of the kept words joined by spaces and, where words were removed, __kept (these words; else null)."""
+    runs = repeated_runs(common.row_keys(docs, id_col, text_col), least, seed).groupBy("__id", "__rk").agg(F.collect_set(F.struct("first", "last")).alias("__runs"))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("__id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("__rk"), F.col(text_col).alias("__text"), *carry)
+    joined = rows.join(runs, ["__id", "__rk"], "left").select("__text", "__runs", *carry)
+    schema = T.StructType([*joined.select(*carry).schema.fields, *T._parse_datatype_string("__n_words long, __n_removed long, __sha256 string, __kept string").fields])
+    return joined.mapInArrow(_cut(least), schema)
+
+
+def cut_repeats(docs: DataFrame, least: int = 35, seed: int = 12, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
+    """docs with the repeats taken out of their texts (the words left, joined by spaces); texts that lose nothing stay as they are."""
+    found = remove_repeats(docs, least, seed, id_col, text_col, tuple(docs.columns))
+    text = F.coalesce(F.col("__kept"), F.col(text_col))
+    out = found.withColumn(text_col, text)
+    if size_col in docs.columns:
+        out = out.withColumn(size_col, F.when(F.col("__n_removed") > 0, F.length(text_col).cast(docs.schema[size_col].dataType)).otherwise(F.col(size_col)))
+    return out.select(*docs.columns)
