@@ -113,7 +113,7 @@ def search(embeddings: DataFrame, is_query: Column, k: int = 10, id_col: str = "
             ids, vectors = left["vec_id"].to_numpy(), _matrix(left["v"])
             forest = Forest(vectors, trees, bits)
             asked_ids, asked_vectors = right["vec_id"].to_numpy(), _matrix(right["v"])
-            enough = int(share * len(ids)) + 4 * k
+            enough = int(share * len(ids)) + (k + 1) * trees  # a row counts once for each tree, so at least k others
             for start in range(0, len(asked_ids), 256):
                 part = slice(start, start + 256)
                 for q, v, found in zip(asked_ids[part], asked_vectors[part], forest.candidates(asked_vectors[part], enough)):
