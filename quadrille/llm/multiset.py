@@ -1,8 +1,8 @@
 """Operator 7 [native]: a homomorphic multiset hash of a text's paragraphs.
 
-Each paragraph is hashed to a wide vector of 0/1 lanes (64 lanes for each
+Each paragraph is hashed to a wide vector of 0/1 lanes (64 for each
 seed), and a text's fingerprint is the sum of its paragraphs' vectors, each
-lane modulo 2**14, with the number of paragraphs. The sum does not depend on
+lane modulo 2**32, with the number of paragraphs. The sum does not depend on
 order, and a paragraph can be added to or taken from a fingerprint without the
 rest of the text. As a lane says +1 or -1 with equal chance, the normalised
 product of two fingerprints estimates the cosine of the two multisets; the
@@ -11,9 +11,9 @@ estimate, cut to 0..1, is the likeness.
 Paragraphs are what lies between line breaks and after sentence ends (a
 pattern, as a parameter), so that a text of one line has several.
 
-Only SQL expressions are used. Four lanes of 14 bits share a 64-bit number,
-with two free bits each, so one addition and one mask add four lanes; nothing is
-exploded or shuffled to make a fingerprint.
+Only SQL expressions are used. Two lanes share a 64-bit number, and the sums
+are plain long sums of a hash aggregate over the exploded paragraphs, made
+where the text already lies, so that paragraphs are never shuffled.
 
 Null is the empty text, which has no paragraphs and the all-zero fingerprint.
 Two fingerprints without paragraphs have likeness 1, one without and one with
@@ -29,41 +29,39 @@ from pyspark.sql import functions as F
 from . import common
 
 PARAGRAPH = r"\n+|(?<=[.!?]) +"
-SEEDS = (11, 23, 37, 53)
-_ONES = 0x0001000100010001
-_LANES = 0x3FFF3FFF3FFF3FFF
-_MODULUS = 1 << 14
+SEEDS = (11, 37)
+_LANE = 0xFFFFFFFF
+_ONES = (1 << 32) | 1
+LONGS = 32 * len(SEEDS)
 
 
 def paragraphs(text: Column, pattern: str = PARAGRAPH) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), pattern), lambda p: p != "")
 
 
-def vectors(parts: Column) -> Column:
-    """The fingerprint of an array of paragraphs: an array of longs, the number of paragraphs first."""
-    sums = []
-    for seed in SEEDS:
-        hashed = F.transform(parts, lambda p: F.xxhash64(F.lit(seed), p))
-        packed = F.transform(
-            F.sequence(F.lit(0), F.lit(15)),
-            lambda i: F.aggregate(hashed, F.lit(0).cast("long"), lambda acc, h: (acc + (F.call_function("shiftrightunsigned", h, i)).bitwiseAND(F.lit(_ONES))).bitwiseAND(F.lit(_LANES))),
-        )
-        sums.append(packed)
-    return F.concat(F.array(F.size(parts).cast("long")), *sums)
+def _hashes(text: Column, side: int, pattern: str) -> Column:
+    """An array of structs (side, h0, h1, ...), one for each paragraph."""
+    return F.transform(paragraphs(text, pattern), lambda p: F.struct(F.lit(side).alias("side"), *[F.xxhash64(F.lit(seed), p).alias(f"h{k}") for k, seed in enumerate(SEEDS)]))
+
+
+def _sums(rows: DataFrame, keys: list[str], units: Column) -> DataFrame:
+    """Fingerprints by keys and side of an array of _hashes; a row without any has one of no paragraphs, with no side."""
+    flat = rows.select(*keys, F.explode_outer(units).alias("u")).select(*keys, "u.*")
+    lanes = [F.coalesce(F.sum(F.call_function("shiftrightunsigned", F.col(f"h{k}"), F.lit(i)).bitwiseAND(F.lit(_ONES))), F.lit(0)).alias(f"s{32 * k + i}") for k in range(len(SEEDS)) for i in range(32)]
+    summed = flat.groupBy(*keys, "side").agg(F.count("h0").alias("n"), *lanes)
+    return summed.select(*keys, "side", F.array("n", *[f"s{i}" for i in range(LONGS)]).alias("f"))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
     """The fingerprint of both multisets together, or (sign -1) of a without b."""
-    def lanes(x: Column, y: Column) -> Column:
-        # A lane's negative is its complement plus one; two free bits a lane hold the carries.
-        other = y if sign > 0 else F.lit(_LANES).bitwiseXOR(y) + F.lit(_ONES)
-        return (x + other).bitwiseAND(F.lit(_LANES))
 
-    def at(i: int) -> Column:
-        return lanes(F.element_at(a, i), F.element_at(b, i))
+    def lanes(x: Column, y: Column) -> Column:
+        low = F.pmod(x.bitwiseAND(F.lit(_LANE)) + y.bitwiseAND(F.lit(_LANE)) * sign, F.lit(1 << 32))
+        high = F.pmod(F.shiftrightunsigned(x, 32) + F.shiftrightunsigned(y, 32) * sign, F.lit(1 << 32))
+        return F.shiftleft(high, 32).bitwiseOR(low)
 
     n = F.element_at(a, 1) + F.element_at(b, 1) * sign
-    return F.concat(F.array(n), F.array(*[at(i) for i in range(2, 2 + 16 * len(SEEDS))]))
+    return F.concat(F.array(n), F.zip_with(F.slice(a, 2, LONGS), F.slice(b, 2, LONGS), lanes))
 
 
 def as_text(v: Column) -> Column:
@@ -72,14 +70,10 @@ def as_text(v: Column) -> Column:
 
 
 def signed(v: Column) -> Column:
-    """Lanes as sums of +1 and -1: twice the count of ones less the number of paragraphs, as the smallest number that agrees modulo 2**15."""
+    """Lanes as sums of +1 and -1: twice the count of ones, less the number of paragraphs."""
     n = F.element_at(v, 1)
-
-    def lane(w: Column, k: int) -> Column:
-        ones = F.shiftright(w, 16 * k).bitwiseAND(F.lit(_MODULUS - 1))
-        return (F.pmod(ones * 2 - n + _MODULUS, F.lit(2 * _MODULUS)) - _MODULUS).cast("double")
-
-    return F.flatten(F.transform(F.slice(v, 2, 16 * len(SEEDS)), lambda w: F.array(*[lane(w, k) for k in range(4)])))
+    both = lambda w: F.array(*[(x * 2 - n).cast("double") for x in (w.bitwiseAND(F.lit(_LANE)), F.shiftrightunsigned(w, 32))])
+    return F.flatten(F.transform(F.slice(v, 2, LONGS), both))
 
 
 def _dot(x: Column, y: Column) -> Column:
@@ -95,7 +89,7 @@ def likeness(same: Column, dot: Column, xx: Column, yy: Column) -> Column:
 def likeness_of(a: Column, b: Column) -> Column:
     """The likeness of two fingerprints, as one expression."""
     x, y = signed(a), signed(b)
-    return likeness(F.array_join(a, ",") == F.array_join(b, ","), _dot(x, y), _dot(x, x), _dot(y, y))
+    return likeness(a == b, _dot(x, y), _dot(x, x), _dot(y, y))
 
 
 def _bucket(bounds: list[int], value: Column) -> Column:
@@ -106,7 +100,7 @@ def _bucket(bounds: list[int], value: Column) -> Column:
     steps = len(bounds).bit_length()
 
     def step(acc: Column, _: Column) -> Column:
-        mid = F.expr("0") + F.floor((acc.lo + acc.hi) / 2).cast("int")
+        mid = F.floor((acc.lo + acc.hi) / 2).cast("int")
         below = (acc.lo < acc.hi) & (F.get(known, mid) < value)
         return F.struct(F.when(below, mid + 1).otherwise(acc.lo).alias("lo"), F.when(below | (acc.lo >= acc.hi), acc.hi).otherwise(mid).alias("hi"))
 
@@ -116,31 +110,8 @@ def _bucket(bounds: list[int], value: Column) -> Column:
 
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pattern: str = PARAGRAPH) -> DataFrame:
     """Rows (doc_id, fingerprint array<long>): one for each row of docs."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), vectors(paragraphs(F.col(text_col), pattern)).alias("fingerprint"))
-
-
-def with_next(docs: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
-    """docs with a struct `next` of the columns of the next row by ascending id; after the last, the first.
-
-    Rows are dealt to ranges of ids, whose bounds are quantiles (one for each
-    shuffle partition). Within a range the next row is a lead; the last row of
-    a range takes the first row of the next range that has rows.
-    """
-    parts = common.parallelism(docs)
-    wanted = [i / (2 * parts) for i in range(1, 2 * parts)]
-    found = docs.agg(F.percentile_approx(F.col(id_col), wanted, 100 * parts)).first()[0] or []
-    bounds = sorted({int(x) for x in found})
-    ranged = docs.withColumn("__b", _bucket(bounds, F.col(id_col)))
-    tie = F.xxhash64(*[F.col(c) for c in columns])
-    row = F.struct(*columns)
-    inside = Window.partitionBy("__b").orderBy(F.col(id_col).asc_nulls_first(), tie)
-    led = ranged.withColumn("__next", F.lead(row).over(inside))
-    firsts = ranged.groupBy("__b").agg(F.min_by(row, F.struct(F.col(id_col), tie)).alias("__row"))
-    # One row for each range, so one task holds them all.
-    ring = Window.orderBy("__b")
-    first_of_all = F.first("__row").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    after = firsts.select("__b", F.coalesce(F.lead("__row").over(ring), first_of_all).alias("__after"))
-    return led.join(after, "__b").withColumn("next", F.coalesce("__next", "__after")).drop("__b", "__next", "__after")
+    base = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return _sums(base, ["__row", "doc_id"], _hashes(F.col("text"), 0, pattern)).select("doc_id", F.col("f").alias("fingerprint"))
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pattern: str = PARAGRAPH) -> DataFrame:
@@ -149,23 +120,48 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     The edited text has the last floor(n/4) of n code points replaced by the
     first as many (or all) of the next text. Rows with null ids come first;
     rows of one id follow each other in the order of a hash of their content.
+
+    Rows are dealt to ranges of ids, whose bounds are quantiles (two for each
+    shuffle partition); this is the only shuffle of texts, and all that follows
+    happens within a range. The next row is a lead; the last row of a range
+    takes the first row of the next range that has rows, and that of the last
+    range the very first.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    base = base.withColumn("f", vectors(paragraphs(F.col("text"), pattern)))
-    paired = with_next(base, "doc_id", ["text", "f"])
+    parts = common.parallelism(docs)
+    wanted = [i / (2 * parts) for i in range(1, 2 * parts)]
+    found = base.agg(F.percentile_approx("doc_id", wanted, 100 * parts)).first()[0] or []
+    ranged = base.withColumn("__b", _bucket(sorted({int(x) for x in found}), F.col("doc_id")))
+    tie = F.xxhash64("text")
+    order = Window.partitionBy("__b").orderBy(F.col("doc_id").asc_nulls_first(), tie)
+    firsts = ranged.groupBy("__b").agg(F.min_by("text", F.struct(F.col("doc_id"), tie)).alias("__first"))
+    # One row for each range, so one task holds them all.
+    ring = Window.orderBy("__b")
+    first_of_all = F.first("__first").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    after = firsts.select("__b", F.coalesce(F.lead("__first").over(ring), first_of_all).alias("__after"))
+    led = ranged.select("*", F.lead("text").over(order).alias("__lead"), F.row_number().over(order).alias("__at"))
+    paired = led.join(after, "__b").select("__b", "__at", "doc_id", "text", F.coalesce("__lead", "__after").alias("next"), F.when(F.col("__lead").isNull(), F.col("__after")).alias("beyond"))
+
     n = F.length("text")
     k = F.floor(n / 4).cast("int")
-    edited = paired.select("doc_id", n.cast("long").alias("n_chars"), "f", F.col("next.f").alias("g"), F.concat(F.substring("text", F.lit(1), n - k), F.substring(F.col("next.text"), F.lit(1), k)).alias("edited"))
-    edited = edited.select("doc_id", "n_chars", "f", "g", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), vectors(paragraphs(F.col("edited"), pattern)).alias("e"))
-    lanes = edited.select("*", signed(F.col("f")).alias("x"), signed(F.col("e")).alias("y"), signed(F.col("g")).alias("z"))
+    edited = paired.select("__b", "__at", "doc_id", "text", "beyond", n.cast("long").alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - k), F.substring("next", F.lit(1), k)).alias("edited"))
+    edited = edited.withColumn("edited_sha256", F.sha2(F.encode("edited", "UTF-8"), 256))
+    keys = ["__b", "__at", "doc_id", "n_chars", "edited_sha256"]
+    units = F.concat(_hashes(F.col("text"), 0, pattern), _hashes(F.col("edited"), 1, pattern), F.when(F.col("beyond").isNull(), F.array().cast("array<struct<side:int,h0:bigint,h1:bigint>>")).otherwise(_hashes(F.col("beyond"), 2, pattern)))
+    sides = _sums(edited, keys, units)
+    none = F.array_repeat(F.lit(0).cast("long"), 1 + LONGS)
+    of = lambda side: F.coalesce(F.max(F.when(F.col("side") == side, F.col("f"))), none)
+    # (max: there is one at most)
+    rows = sides.groupBy(*keys).agg(of(0).alias("f"), of(1).alias("e"), of(2).alias("beyond"))
+    following = F.coalesce(F.lead("f").over(Window.partitionBy("__b").orderBy("__at")), F.col("beyond"))
+    lanes = rows.select("*", following.alias("g")).select("*", signed(F.col("f")).alias("x"), signed(F.col("e")).alias("y"), signed(F.col("g")).alias("z"))
     dots = lanes.select("doc_id", "n_chars", "edited_sha256", "f", "e", "g", _dot(F.col("x"), F.col("x")).alias("xx"), _dot(F.col("y"), F.col("y")).alias("yy"), _dot(F.col("z"), F.col("z")).alias("zz"), _dot(F.col("x"), F.col("y")).alias("xy"), _dot(F.col("x"), F.col("z")).alias("xz"))
-    texts = dots.select("*", as_text(F.col("f")).alias("fingerprint"), as_text(F.col("e")).alias("edited_fingerprint"), as_text(F.col("g")).alias("next_fingerprint"))
-    return texts.select(
+    return dots.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
-        likeness(F.col("fingerprint") == F.col("edited_fingerprint"), F.col("xy"), F.col("xx"), F.col("yy")).alias("near_edited"),
-        likeness(F.col("fingerprint") == F.col("next_fingerprint"), F.col("xz"), F.col("xx"), F.col("zz")).alias("near_next"),
+        as_text(F.col("f")).alias("fingerprint"),
+        as_text(F.col("e")).alias("edited_fingerprint"),
+        likeness(F.col("f") == F.col("e"), F.col("xy"), F.col("xx"), F.col("yy")).alias("near_edited"),
+        likeness(F.col("f") == F.col("g"), F.col("xz"), F.col("xx"), F.col("zz")).alias("near_next"),
     )
