@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import decade, file_class, percent
+from ..functions.columns import bucket_of_href, decade, file_class, item_key_of, key_of_href, percent
 from . import joins
 
 
@@ -109,8 +109,6 @@ def audit(inventory: DataFrame, database: DataFrame, warehouse: DataFrame) -> Da
 
 def audit_delta(flags: DataFrame, inventory: DataFrame, database: DataFrame) -> DataFrame:
     """(bucket, key) of ids that the warehouse lacks: from the inventory where it has them, else from the database's links."""
-    from ..functions.columns import bucket_of_href, item_key_of, key_of_href
-
     lacking = flags.where("not in_warehouse")
     listed = inventory.join(lacking.where("inventoried").select("id"), "id", "left_semi").select("bucket", "key")
     linked = database.join(lacking.where("not inventoried and in_database").select("id"), "id", "left_semi")
@@ -138,3 +136,24 @@ def bucket_report(buckets: DataFrame, results: DataFrame) -> DataFrame:
     """Compaction results for all buckets, zeros where there is none."""
     values = [c for c in results.columns if c not in ("grid_partition", "year")]
     return buckets.select("grid_partition", "year").distinct().join(results, ["grid_partition", "year"], "left").na.fill(0, values)
+
+
+def compare_sources(a: DataFrame, b: DataFrame, id_col: str = "id", samples: int = 10) -> dict[str, DataFrame]:
+    """Two lists of ids against each other: counts, samples of what only one has, lengths and prefixes of those."""
+    only_a, only_b = (joins.missing_from(x.select(id_col).distinct(), y, id_col) for x, y in ((a, b), (b, a)))
+    flags = joins.membership({"in_a": a, "in_b": b}, id_col)
+    counts = flags.agg(F.count_if(F.col("in_a")).alias("a"), F.count_if(F.col("in_b")).alias("b"), F.count_if(F.col("in_a") & F.col("in_b")).alias("both"), F.count_if(F.col("in_a") & ~F.col("in_b")).alias("only_a"), F.count_if(~F.col("in_a") & F.col("in_b")).alias("only_b"))
+    return {
+        "counts": counts,
+        "only_a": only_a.orderBy(id_col).limit(samples),
+        "only_b": only_b.orderBy(id_col).limit(samples),
+        "lengths": lengths(only_a, id_col),
+        "prefixes": prefixes(only_a, id_col),
+        "blank": blank_ids(a, id_col),
+    }
+
+
+def describe(catalog) -> dict[str, DataFrame]:
+    """What a catalogue holds, from its manifest alone."""
+    files = catalog.files()
+    return {"summary": summary(files), "years": year_shares(files), "largest": largest_buckets(files), "fragmented": fragmented(files), "files_per_bucket": files_per_bucket(files)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import year_of
+from ..functions.columns import file_class, year_of
 from ..operators import fanout
 from ..operators.dedup import BUCKET, latest
 from ..schema import BOUNDS, STORED
@@ -114,3 +114,13 @@ def remove_orphans(catalog: Catalog, dry_run: bool = True) -> DataFrame:
         for r in orphans.select("path").collect():
             io.remove(catalog.spark, r.path)
     return orphans
+
+
+def stragglers(files: DataFrame) -> DataFrame:
+    """Files to merge in buckets of an imported warehouse that were not finished: the part files where there are some, else temporary and compacted ones."""
+    name = F.element_at(F.split("path", "/"), -1)
+    marked = files.withColumn("kind", F.when(name.startswith("tmp_"), "temporary").otherwise(file_class(F.col("path"))))
+    has = marked.groupBy(*BUCKET).agg(F.bool_or(F.col("kind") == "part").alias("parts"), F.bool_or(F.col("kind") == "temporary").alias("temporaries"))
+    joined = marked.join(has, BUCKET)
+    wanted = F.when(F.col("parts"), F.col("kind") == "part").when(F.col("temporaries"), F.col("kind").isin("temporary", "compacted")).otherwise(F.lit(False))
+    return joined.where(wanted).select(*files.columns)

@@ -457,6 +457,48 @@ def pruned_partition(spark, sf_dir):
     return rows.groupBy(F.col("grid_partition").alias("cell"), "year").agg(F.count("*").alias("n_rows"))
 
 
+@registered(f"""{_FILES}, named AS (SELECT cell, year, CASE WHEN n % 3 = 0 THEN 'compacted_' || path WHEN n % 3 = 1 THEN 'tmp_' || path ELSE path END AS path FROM files),
+  has AS (SELECT cell, year, bool_or(path LIKE 'part%') AS p, bool_or(path LIKE 'tmp%') AS t FROM named GROUP BY cell, year)
+  SELECT cell, year, path FROM named JOIN has USING (cell, year) WHERE CASE WHEN p THEN path LIKE 'part%' WHEN t THEN path LIKE 'tmp%' OR path LIKE 'compacted%' ELSE false END""")
+def straggler_files(spark, sf_dir):
+    n = F.col("rows") % 3
+    files = _files(spark, sf_dir).withColumn("path", F.when(n == 0, F.concat(F.lit("compacted_"), "path")).when(n == 1, F.concat(F.lit("tmp_"), "path")).otherwise(F.col("path")))
+    return maintenance.stragglers(files).select(F.col("grid_partition").alias("cell"), "year", "path")
+
+
+@registered(f"""{_FILES} SELECT CASE WHEN n % 2 = 0 THEN 'compacted' ELSE 'part' END AS kind, count(*) AS files, CAST(sum(n) AS BIGINT) AS n_rows FROM files GROUP BY 1""")
+def file_classes(spark, sf_dir):
+    files = _files(spark, sf_dir).withColumn("path", F.when(F.col("rows") % 2 == 0, F.concat(F.lit("d/compacted_"), "path")).otherwise(F.concat(F.lit("d/"), "path")))
+    return files.groupBy(C.file_class(F.col("path")).alias("kind")).agg(F.count("*").alias("files"), F.sum("rows").alias("n_rows"))
+
+
+@registered("SELECT count(*) FILTER (a) AS a, count(*) FILTER (b) AS b, count(*) FILTER (a AND b) AS both, count(*) FILTER (a AND NOT b) AS only_a, count(*) FILTER (b AND NOT a) AS only_b FROM (SELECT bool_or(k = 0) AS a, bool_or(k = 1) AS b FROM (SELECT o_orderkey AS id, 0 AS k FROM orders WHERE o_orderkey % 3 > 0 UNION ALL SELECT l_orderkey, 1 FROM lineitem) GROUP BY id)")
+def compare_sources(spark, sf_dir):
+    a = _table(spark, sf_dir, "orders").where("o_orderkey % 3 > 0").select(F.col("o_orderkey").alias("id"))
+    return reports.compare_sources(a, _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id")))["counts"]
+
+
+@registered(f"""{_FILES} SELECT cell, year, CAST(coalesce(sum(n) FILTER (year >= '1998'), 0) AS BIGINT) AS merged FROM files GROUP BY cell, year""")
+def empty_bucket_report(spark, sf_dir):
+    files = _files(spark, sf_dir)
+    done = files.where("year >= '1998'").groupBy("grid_partition", "year").agg(F.sum("rows").alias("merged"))
+    return reports.bucket_report(files, done).select(F.col("grid_partition").alias("cell"), "year", "merged")
+
+
+@registered(f"""{_FILES} SELECT count(*) FILTER (k > 6) AS buckets, CAST(coalesce(sum(s) FILTER (k > 6), 0) AS BIGINT) AS n_rows FROM (SELECT count(*) AS k, sum(n) AS s FROM files GROUP BY cell, year)""")
+def fragmented_buckets(spark, sf_dir):
+    per = _files(spark, sf_dir).groupBy("grid_partition", "year").agg(F.count("*").alias("files"), F.sum("rows").alias("rows"))
+    split = per.select("grid_partition", "year", F.col("rows"), F.explode(F.sequence(F.lit(1), F.when(F.col("files") > 6, 2).otherwise(1))).alias("i"))
+    halves = split.select("grid_partition", "year", F.when(F.col("i") == 1, F.col("rows")).otherwise(F.lit(0)).alias("rows"))
+    return reports.fragmented(halves).select("buckets", F.col("rows").alias("n_rows"))
+
+
+@registered("SELECT event_id FROM events WHERE user_id IS NULL OR event_type = ''")
+def blank_ids(spark, sf_dir):
+    e = _table(spark, sf_dir, "events").withColumn("id", F.when(F.col("user_id").isNotNull(), F.col("event_type")))
+    return reports.blank_ids(e).select("event_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

@@ -80,3 +80,8 @@ def failures(fetched: DataFrame) -> DataFrame:
 def read_documents(spark, paths: str | list[str]) -> DataFrame:
     """Item files read by Spark itself: (path, body)."""
     return spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"))
+
+
+def document_ids(fetched: DataFrame) -> DataFrame:
+    """(id) as the documents themselves say, of all that could be fetched."""
+    return fetched.where("error is null").select(F.get_json_object("body", "$.id").alias("id"))

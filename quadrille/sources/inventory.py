@@ -89,3 +89,11 @@ def read_inventory(spark: SparkSession, path: str, since: str | None = None, lim
     moment = C.utc_timestamp(F.col("last_modified")) if isinstance(kind, T.StringType) else F.col("last_modified").cast("timestamp")
     rows = rows.withColumn("last_modified", moment).where(C.is_item_key(F.col("key")) & C.fresh(F.col("last_modified"), since))
     return rows if limit is None else rows.limit(limit)
+
+
+def inventory_of(spark: SparkSession, folder: str, bucket: str, limit: int | None = None) -> DataFrame:
+    """(bucket, key) of the JSON files below a folder, by name: an inventory for tests."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(folder)
+    top = F.lit(folder.rstrip("/").split(":", 1)[-1].replace("//", "") + "/")
+    rows = files.select(F.lit(bucket).alias("bucket"), F.element_at(F.split("path", top), -1).alias("key")).orderBy("key")
+    return rows if limit is None else rows.limit(limit)

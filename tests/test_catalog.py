@@ -9,7 +9,7 @@ from quadrille.functions import columns as C
 from quadrille.functions import geometry as geo
 from quadrille.operators import dedup, delta, fanout, hashindex, reports
 from quadrille.operators.grids import LatLonGrid
-from quadrille.plans import ingest, maintenance, query
+from quadrille.plans import geoparquet, ingest, maintenance, query
 from quadrille.plans.catalog import Catalog, CatalogLocked, Conflict
 from quadrille.schema import STORED
 from quadrille.sources import fetch, files, inventory
@@ -266,6 +266,34 @@ def _parquet(spark, tmp_path):
     return spark
 
 
+def test_geo_footer_writer(spark, catalog):
+    rows = fanout.fan_out(fanout.parse_items(documents(spark, *[item(f"i{k}", x=10.0 * k) for k in range(6)])), catalog.grid())
+    added = geoparquet.write_rows(catalog, rows, rows_per_file=2)
+    catalog.commit(added, "append")
+    assert catalog.read().count() == rows.count() == added.agg(F.sum("rows")).first()[0]
+    assert added.agg(F.max("rows")).first()[0] == 2
+    first = added.first()
+    assert geoparquet.footer(first.path.removeprefix("file:"))["primary_column"] == "geometry"
+    assert query.search(catalog, geo.box(-5, 61, 5, 62), distinct_items=True).count() == 2
+    described = {r.path.split("/data/")[1]: r.rows for r in catalog.describe_files().collect()}
+    assert described == {r.path.split("/data/")[1]: r.rows for r in added.collect()}
+
+
+def test_reports_of_a_catalogue(spark, catalog, tmp_path):
+    ingest.ingest_documents(catalog, documents(spark, item("a"), item("b", 2022)))
+    found = reports.describe(catalog)
+    assert found["summary"].first().files == 24 and found["fragmented"].first().buckets == 0
+    assert found["largest"].count() == 15 and {r.year for r in found["years"].collect()} == {"2021", "2022"}
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "id string")
+    both = reports.compare_sources(ids("p_1", "p_2", "q_3", ""), ids("p_1", "z"))
+    assert both["counts"].first().asDict() == {"a": 4, "b": 2, "both": 1, "only_a": 3, "only_b": 1}
+    assert [r.prefix for r in both["prefixes"].collect()] == ["", "p", "q"] and both["blank"].count() == 1
+    (tmp_path / "j").mkdir()
+    for n in ("b.json", "a.json", "c.txt"):
+        (tmp_path / "j" / n).write_text('{"id": "%s"}' % n)
+    assert [tuple(r) for r in inventory.inventory_of(spark, str(tmp_path / "j"), "bk").collect()] == [("bk", "a.json"), ("bk", "b.json")]
+
+
 # ---------------------------------------------------------------- dedup, index, delta
 
 
