@@ -151,7 +151,9 @@ def write_archives(pages: DataFrame, folder: str, least: int = 1000, records_per
     revisit = F.col("grouped") & ~F.col("is_top")
     joined = joined.select("page_id", "url", "payload", F.when(revisit, F.col("refers_to")).alias("refers_to"), revisit.alias("revisit"))
 
-    sample = base.orderBy(F.xxhash64("page_id", "url"), "page_id").select(F.substring("payload", 1, sample_bytes).alias("payload"), "page_id", "url").limit(sample_records).collect()
+    # Which records are sampled is settled on hashes alone, so tasks send few bytes; then these few records are read.
+    chosen = base.select(F.xxhash64("page_id", "url").alias("__h")).distinct().orderBy("__h").limit(sample_records).collect()
+    sample = base.where(F.xxhash64("page_id", "url").isin([r[0] for r in chosen])).select(F.substring("payload", 1, sample_bytes).alias("payload"), "page_id", "url").orderBy("page_id", "url").limit(2 * sample_records).collect() if chosen else []
     dictionary = train_dictionary([build_record(r.page_id, r.url, bytes(r.payload), None, False) for r in sample])
     shared = spark.sparkContext.broadcast(dictionary)  # at most 64 KB
 
