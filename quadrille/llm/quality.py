@@ -3,7 +3,7 @@
 Fitting. A bounded sample of labelled rows (`sample_rows`, those with the
 smallest hashes of their ids) gives feature vectors, made on the executors:
 square roots of relative frequencies of hashed byte pairs, and a few shape
-shares (capitals, signs, digits, repeated words and lines). A truncated
+shares (capitals, signs, digits, repeated words). A truncated
 singular value decomposition of the sample, weighted by inverse document
 frequency, is the latent space; the sample's vectors in it, with their labels,
 are broadcast: at most sample_rows x rank numbers.
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from . import common
 
 HASHED = 1024
-SHAPES = 7
+SHAPES = 8
 WIDTH = HASHED + SHAPES
 
 
@@ -70,7 +70,11 @@ def features(texts: common.Texts, i: int, j: int) -> np.ndarray:
     distinct = np.bincount(t[new], minlength=n)
     # Distinct words fall short of all words in any long text; the exponent makes texts of other lengths alike.
     variety = np.where(words.counts > 0, distinct / np.maximum(1, words.counts) ** 0.85, 0)
+    again = np.zeros(n)
+    if len(hashes) > 1:
+        again = np.bincount(text_of[1:][(hashes[1:] == hashes[:-1]) & (text_of[1:] == text_of[:-1])], minlength=n) / np.maximum(1, words.counts)
     shapes = [
+        again,
         share(upper, sizes),
         share(~letters & ~blank & ~digits, sizes),
         share(digits, sizes),
@@ -79,7 +83,7 @@ def features(texts: common.Texts, i: int, j: int) -> np.ndarray:
         np.minimum(1, (sizes / np.maximum(1, words.counts)) / 20),
         np.minimum(1, np.log1p(words.counts) / 10),
     ]
-    out[:, HASHED:] = np.stack(shapes, axis=1) * np.array([2, 2, 1, 1, 0.5, 0.5, 0.25])
+    out[:, HASHED:] = np.stack(shapes, axis=1) * np.array([4, 4, 4, 2, 2, 1, 1, 0.5])
     return out
 
 
@@ -117,7 +121,7 @@ class Model:
         return np.clip(out, 0.0, 1.0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = 4096, rank: int = 64, neighbours: int = 15, sharpness: float = 30.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = 4096, rank: int = 64, neighbours: int = 9, sharpness: float = 30.0) -> Model:
     """A model from the labelled rows that `learn` (a condition on doc_id) lets in."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & learn)
     rows = known.groupBy("doc_id").agg((F.avg("y") >= 0.5).cast("double").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
@@ -125,6 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")  # at most sample_rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.make_room("quality")
         for batch in batches:
             texts = common.Texts(batch.column(1))
             for i, j in texts.chunks():
