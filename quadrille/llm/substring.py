@@ -17,7 +17,8 @@ pairs of places are ever made.
 
 Repeats of at least `least` words are the unions of repeated windows, so the
 words to remove are those that a repeated window covers. Windows are judged
-on the input. All hashes of contents are 128 bits wide.
+on the input. Contents are named by two 64-bit hashes: anchor and context, or two of a
+window.
 
 Null is the empty text and has no words. Rows that repeat id and text count as
 places of their own, so each is a copy of the other. Rows with equal ids and
@@ -78,22 +79,22 @@ class _Anchors:
         last = np.append(first[1:], len(new)) - 1 if len(first) else first
         return self.anchor_of[first], self.starts[first], self.starts[last]
 
-    def stretch_hashes(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """128-bit hashes of the words from window `first` to the end of window `last`, by length."""
-        out = np.zeros((2, len(first)), U64)
+    def stretch_hashes(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hashes of the words from window `first` to the end of window `last`, by length."""
+        out = np.zeros(len(first), U64)
         lengths = last - first + self.least
         for length in np.unique(lengths):
             mine = lengths == length
-            for k in (0, 1):
-                out[k, mine] = common.ngram_hashes(self.hashes, int(length), seed=5 + k)[first[mine]]
-        return out[0], out[1]
+            out[mine] = common.ngram_hashes(self.hashes, int(length), seed=5)[first[mine]]
+        return out
 
 
-_PLACES = "anchor long, c1 long, c2 long, __id long, __rk long, at int, first int, last int"
+_PLACES = "anchor long, context long, __id long, __rk long, first int, last int"
 
 
 def _places(least: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.make_room("substring")
         for batch in batches:
             texts = common.Texts(batch.column("text"))
             ids, rks = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("__id", "__rk"))
@@ -102,10 +103,10 @@ def _places(least: int, seed: int):
                 at, first, last = a.runs()
                 if not len(at):
                     continue
-                c1, c2 = a.stretch_hashes(first, last)
+                context = a.stretch_hashes(first, last)
                 t = a.text_of[first]
                 base = a.words.offsets[t]
-                columns = [common.signed(a.grams[at]), common.signed(c1), common.signed(c2), ids[i:j][t], rks[i:j][t], (at - base).astype(np.int32), (first - base).astype(np.int32), (last - base).astype(np.int32)]
+                columns = [common.signed(a.grams[at]), common.signed(context), ids[i:j][t], rks[i:j][t], (first - base).astype(np.int32), (last - base).astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[c.split()[0] for c in _PLACES.split(", ")])
 
     return run
@@ -147,14 +148,15 @@ def _windows(least: int, seed: int):
 def repeated_runs(keyed: DataFrame, least: int, seed: int) -> DataFrame:
     """Rows (__id, __rk, first, last): runs of window starts of a row's text whose windows also start elsewhere."""
     places = common.materialize(keyed.select("__id", "__rk", "text").mapInArrow(_places(least, seed), _PLACES), "anchors")
-    twice = places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Written, so that the join's sides are plain shuffles, whose hot partitions Spark can split.
+    twice = common.materialize(places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "repeated-anchors")
     seeds = common.materialize(places.join(twice, "anchor"), "seeds")
 
     # Extension: anchors with equal contexts are repeats as a whole.
-    whole = seeds.groupBy("anchor", "c1", "c2").agg(F.count("*").alias("n"), F.min(F.struct("__id", "__rk", "first", "last")).alias("one"))
+    whole = seeds.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("__id", "__rk", "first", "last")).alias("one"))
     whole = common.materialize(whole, "contexts")
-    mixed = whole.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1").select("anchor")
-    settled = seeds.join(whole.where("n > 1").select("anchor", "c1", "c2"), ["anchor", "c1", "c2"], "left_semi").select("__id", "__rk", "first", "last")
+    mixed = common.materialize(whole.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1").select("anchor"), "mixed-anchors")
+    settled = seeds.join(whole.where("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select("__id", "__rk", "first", "last")
 
     # Where they differ: the windows of one place for each context stand for all places with it.
     ends = whole.join(mixed, "anchor").select("one.*", "n")
@@ -163,7 +165,7 @@ def repeated_runs(keyed: DataFrame, least: int, seed: int) -> DataFrame:
     texts = common.filtered_texts(keyed, wanted, ["__id", "__rk", "text"]).join(ends, ["__id", "__rk"])
     # Rows that repeat id and text are one text here; their places are counted in n.
     windows = common.materialize(texts.dropDuplicates(["__id", "__rk"]).mapInArrow(_windows(least, seed), _WINDOWS), "windows")
-    again = windows.groupBy("w1", "w2").agg(F.sum("n").alias("n")).where("n > 1").select("w1", "w2")
+    again = common.materialize(windows.groupBy("w1", "w2").agg(F.sum("n").alias("n")).where("n > 1").select("w1", "w2"), "repeated-windows")
     # Places of contexts that occur once are decided here; the others are settled already.
     single = windows.where("n = 1").join(again, ["w1", "w2"], "left_semi").select("__id", "__rk", F.col("start").alias("first"), F.col("start").alias("last"))
     return settled.unionByName(single)
