@@ -97,5 +97,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
+_OP1_SQL = r"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+  windows AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w)),
+  repeated AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+  covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM windows WHERE h IN (SELECT h FROM repeated)),
+  kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w) AS words ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id"""
+
+_OP2_SQL = """WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+  g AS (SELECT payload_digest, max(page_id) AS top FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to FROM p LEFT JOIN g USING (payload_digest)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that SQL can express; the others are tested against brute force."""
+    return {"op1_substring_dedup": _OP1_SQL, "op2_warc": _OP2_SQL}
