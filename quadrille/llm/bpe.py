@@ -34,6 +34,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 #: The printable stand-ins of byte-level vocabularies keep these byte ranges as they are.
 _KEPT_RANGES = ((33, 126), (161, 172), (174, 255))
 
@@ -270,6 +272,7 @@ def load(path: str) -> WordBpe:
     """One vocabulary for each path and worker."""
     if path not in _LOADED:
         _LOADED[path] = WordBpe(path)
+        common.keeps("bpe", _LOADED.clear)
     return _LOADED[path]
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -59,11 +60,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
         pass
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Cut lineage: write df once to the shared folder and read it back."""
+def materialize(df: DataFrame, tag: str, small: bool = False) -> DataFrame:
+    """Cut lineage: write df once to the shared folder and read it back.
+
+    A small table (links, classes: few rows for each document) is written by an
+    eighth of the usual number of tasks, as every file has a price of its own.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
-    df.write.option("compression", "zstd").parquet(path)
+    # Not zstd: its native buffers are freed only with the JVM's garbage, and many short tables are read here.
+    (df.coalesce(max(8, parallelism(df) // 8)) if small else df).write.option("compression", "snappy").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -71,6 +77,20 @@ def parallelism(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+#: What this worker process keeps between tasks, by operator: a function that drops it.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def make_room(operator: str) -> None:
+    """Called where an operator starts in a worker: drop what other operators kept there."""
+    for name in [n for n in _KEPT if n != operator]:
+        _KEPT.pop(name)()
+
+
+def keeps(operator: str, drop: Callable[[], None]) -> None:
+    _KEPT[operator] = drop
+
+
 # ---------------------------------------------------------------- Arrow texts
 
 
@@ -269,8 +289,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 30) ->
     to the node's edges, until every node hangs on its root. A round is written
     to the shared folder, so a lost executor costs one round.
     """
-    state = materialize(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct(), "edges")
-    before = None
+    state = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
     for _ in range(most):
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -278,11 +297,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 30) ->
         large = large.where("u != v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        state = materialize(small.where("u != v").distinct(), "edges")
-        now = tuple(state.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
-        if now == before:
+        state = materialize(small.where("u != v").distinct(), "edges", small=True)
+        # Done when every edge leads from a node with one edge to a node with none: then all are stars.
+        ends = state.groupBy("u").agg(F.count("*").alias("n"))
+        if state.join(ends.select(F.col("u").alias("v")), "v", "left_semi").isEmpty() and ends.where("n > 1").isEmpty():
             break
-        before = now
     leaves = state.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
     tops = state.select(F.col("v").alias("node")).distinct().join(leaves.select("node"), "node", "left_anti")
     return leaves.union(tops.select("node", F.col("node").alias("root")))
