@@ -10,11 +10,12 @@ the probability of their probability Jaccard similarity.
 
 Candidates come from bands of the signature. Documents of equal words are one
 node before any pair is made. A band key's nodes are not paired with each
-other but with a hub, the node that shares the most keys with others; after
-that, nodes of a small bucket that are still in different classes are paired
-too, and large buckets that still hold several classes are split by pairs of
-band keys and treated in the same way. A pair goes through an estimate from
-the signatures and then an exact computation of the similarity from the texts.
+other but with a hub, the node that shares the most keys with others. Large
+buckets that still hold several classes are split by further bands of their
+nodes and get hubs again. At last, nodes of small buckets that are still in
+different classes are compared by short signatures, and the near ones paired. A pair goes
+through a comparison of short signatures and then an exact computation of the
+similarity from the texts.
 Classes are the connected components of the exact links.
 
 Null texts and texts without words have no shingles; each is a class of its
@@ -25,17 +26,20 @@ smallest id (null if it has none). A node is named by a 64-bit hash of its words
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 from .common import U64
 
-SHINGLE, SLOTS, ROWS = 5, 128, 4
-SMALL = 48  # nodes of a bucket that are paired with each other
+SHINGLE, SLOTS, BANDED, ROWS = 5, 256, 128, 4  # bands are made of the first BANDED slots
+SMALL = 256  # nodes of a bucket that are compared with each other
+#: Of 256 slots, how many may differ in their lowest four bits for a closer look (at similarity 0.8: 48, deviation 6.2).
+FAR = 64
 _GOLDEN = U64(0x9E3779B97F4A7C15)
 
 
@@ -66,7 +70,8 @@ def prob_minhash(text: np.ndarray, element: np.ndarray, weight: np.ndarray, n: i
     at = np.zeros(len(element))
     step = 0
     while len(element):
-        points = 1 if step < 4 else 16
+        # Several points at once where few shingles are left, within a bound on the arrays.
+        points = max(1, min(16, (1 << 16) // len(element)))
         index = np.arange(step + 1, step + points + 1, dtype=U64)
         draw = common.mix(element[:, None] + index[None, :] * _GOLDEN)
         gap = -np.log(((draw >> U64(24)).astype(np.float64) + 0.5) / float(1 << 40)) / rate[:, None]
@@ -118,6 +123,7 @@ def probability_jaccard(x: dict[int, int] | tuple, y: dict[int, int] | tuple) ->
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    common.make_room("minhash")
     for batch in batches:
         texts = common.Texts(batch.column("text"))
         for i, j in texts.chunks():
@@ -127,67 +133,99 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             made = prob_minhash(t, h, w, j - i)
             total = np.concatenate([np.zeros(1, U64), np.cumsum(common.mix(hashes + np.arange(len(hashes), dtype=U64) * _GOLDEN - (words.offsets[:-1].astype(U64) * _GOLDEN)[words.text_of()]))])
             node = common.mix(total[words.offsets[1:]] - total[words.offsets[:-1]] + words.counts.astype(U64))
-            keys = band_keys(made)
+            keys = band_keys(made[:, :BANDED])
             blank = pa.array(words.counts == 0)
             keep = [batch.column(k)[i:j] for k in ("__id", "__rk", "doc_id")]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * keys.shape[1]), pa.array(common.signed(keys.ravel()), pa.int64()))
-            short = (made & U64(0xFF)).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([*keep, blank, pa.array(common.signed(node)), lists, pa.array([s.tobytes() for s in short], pa.binary())], names=["__id", "__rk", "doc_id", "blank", "node", "bands", "signature"])
+            # Four bits of every slot, as four planes of one bit each.
+            planes = np.hstack([np.packbits(((made >> U64(k)) & U64(1)).astype(bool), axis=1).view(np.int64) for k in range(4)])
+            planes = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * planes.shape[1]), pa.array(planes.ravel(), pa.int64()))
+            yield pa.RecordBatch.from_arrays([*keep, blank, pa.array(common.signed(node)), lists, planes], names=["__id", "__rk", "doc_id", "blank", "node", "bands", "planes"])
 
 
-_SIGNED = "__id long, __rk long, doc_id long, blank boolean, node long, bands array<long>, signature binary"
+_SIGNED = "__id long, __rk long, doc_id long, blank boolean, node long, bands array<long>, planes array<long>"
 
 
-def _verify(least: float):
+def _verify(least: float, rows: int = 256):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = []
-            for name in ("text_a", "text_b"):
-                texts = common.Texts(batch.column(name))
-                rows: list[tuple] = []
-                for i, j in texts.chunks():
-                    words = common.Words(texts, i, j)
-                    t, h, w = shingles(words, words.hashes())
-                    cut = np.searchsorted(t, np.arange(j - i + 1))
-                    rows += [(h[a:b], w[a:b]) for a, b in zip(cut[:-1], cut[1:])]
-                sides.append(rows)
-            similarity = np.array([probability_jaccard(x, y) for x, y in zip(*sides)])
-            kept = pa.array(similarity >= least - 1e-12)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(similarity, pa.float64())], names=["a", "b", "similarity"]).filter(kept)
+        for whole in batches:
+            for start in range(0, whole.num_rows, rows):  # the shingles of a few hundred pairs at a time
+                batch = whole.slice(start, rows)
+                sides = [_weighted(common.Texts(batch.column(name))) for name in ("text_a", "text_b")]
+                similarity = np.array([probability_jaccard(x, y) for x, y in zip(*sides)])
+                kept = pa.array(similarity >= least - 1e-12)
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(similarity, pa.float64())], names=["a", "b", "similarity"]).filter(kept)
 
     return run
 
 
-def _likely(floor: float):
-    """Pairs whose signatures agree in a share of slots of at least floor."""
+def _weighted(texts: common.Texts) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The weighted shingles of each text."""
+    out: list[tuple] = []
+    for i, j in texts.chunks():
+        words = common.Words(texts, i, j)
+        t, h, w = shingles(words, words.hashes())
+        cut = np.searchsorted(t, np.arange(j - i + 1))
+        out += [(h[a:b], w[a:b]) for a, b in zip(cut[:-1], cut[1:])]
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in ("sa", "sb"))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= floor))
 
-    return run
+def _near(a: str, b: str) -> Column:
+    """Whether two short signatures (columns of planes) differ in few slots."""
+    width = SLOTS // 64
+    differ = [F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))) for i in range(4 * width)]
+    return reduce(Column.__add__, [F.bit_count(reduce(Column.bitwiseOR, differ[k::width])) for k in range(width)]) <= FAR
 
 
 def _hub_pairs(buckets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of every node of a bucket with the bucket's hub; buckets: (key, node)."""
+    """Pairs (a, b) of every node of a bucket with the bucket's hub where that is in another class; buckets: (key, node, root)."""
+    buckets = buckets.select("key", "node", "root")
     size = buckets.groupBy("key").agg(F.count("*").alias("n"))
     weight = buckets.join(size, "key").groupBy("node").agg(F.sum("n").alias("w"))
     weighted = buckets.join(weight, "node")
-    hub = weighted.groupBy("key").agg(F.max(F.struct("w", "node")).alias("h")).select("key", F.col("h.node").alias("hub"))
-    return buckets.join(hub, "key").where("node != hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    hub = weighted.groupBy("key").agg(F.max(F.struct("w", "node", "root")).alias("h")).select("key", F.col("h.node").alias("hub"), F.col("h.root").alias("hub_root"))
+    return _pairs_with(buckets, hub)
+
+
+def _other_hub_pairs(buckets: DataFrame) -> DataFrame:
+    """The same with a hub that is another one in every bucket."""
+    hub = buckets.groupBy("key").agg(F.max(F.struct(F.xxhash64("key", "node").alias("h"), "node", "root")).alias("h")).select("key", F.col("h.node").alias("hub"), F.col("h.root").alias("hub_root"))
+    return _pairs_with(buckets, hub)
 
 
-def _inner_pairs(classed: DataFrame) -> DataFrame:
-    """Pairs of nodes of small buckets (key, node, root) that are in different classes."""
-    x = classed.select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
-    y = classed.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
-    return x.join(y, "key").where("a < b and ra != rb").select("a", "b").distinct()
+def _pairs_with(buckets: DataFrame, hub: DataFrame) -> DataFrame:
+    return buckets.join(hub, "key").where("root != hub_root").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
+def _inner_pairs(classed: DataFrame, known: DataFrame, once: bool) -> DataFrame:
+    """Pairs of nodes of small buckets (key, node, band, root) that are in different classes and whose short signatures are near; the others are never rows.
+
+    once: a pair comes from the first band that both share, not from every one.
+    """
+    both = classed.select("key", "node", "band", "root").join(known.select("node", "planes", "bands"), "node")
+    x, y = (both.select(F.col("key").alias(f"key_{k}"), F.col("node").alias(k), F.col("root").alias(f"root_{k}"), F.col("planes").alias(f"planes_{k}"), F.col("bands").alias(f"bands_{k}"), F.col("band").alias(f"band_{k}")) for k in ("a", "b"))
+    near = (F.col("key_a") == F.col("key_b")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _near("planes_a", "planes_b")
+    if once:
+        earlier = [(F.lit(i) < F.col("band_a")) & (F.get("bands_a", F.lit(i)) == F.get("bands_b", F.lit(i))) for i in range(BANDED // ROWS - 1)]
+        near = near & ~reduce(Column.__or__, earlier)
+    return x.join(y, near).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", spread: float = 0.15) -> DataFrame:
+def _split(large: DataFrame, bands: DataFrame, further: int = 3) -> DataFrame:
+    """Buckets (key, node, band) of nodes of large buckets that agree in one of the next few bands as well.
+
+    A pair of similarity 0.8 agrees in a band with probability 0.41, so it shares
+    some 13 of 32 bands, and with three more to each of them it is all but
+    certain that one pair of neighbouring bands is shared.
+    """
+    n = F.size("bands")
+    more = F.explode(F.transform(F.sequence(F.lit(1), F.lit(further)), lambda d: F.struct(F.pmod(F.col("band") + d, n).cast("int").alias("at"), F.get(F.col("bands"), F.pmod(F.col("band") + d, n).cast("int")).alias("key"))))
+    rows = large.join(bands, "node").select("key", "node", "root", more.alias("m")).select(F.xxhash64("key", "m.key").alias("key"), "node", F.col("m.at").alias("band"), "root")
+    several = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
+    return rows.join(several, "key").select("key", "node", "band").distinct()
+
+
+def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (__id, __rk, doc_id, class_id, class_size, keep): one for each row of docs.
 
     keep marks one row of each class: the one with the smallest id (nulls
@@ -198,52 +236,55 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     solid = signed.where("not blank")
 
     # Band keys with more than one node; copies of a document are one node and fall together here.
-    rows = solid.select(F.explode("bands").alias("key"), "node")
+    rows = solid.select(F.posexplode("bands").alias("band", "key"), "node")
     shared = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("key")
     buckets = common.materialize(rows.join(shared, "key").distinct(), "buckets")
 
     nodes = buckets.select("node").distinct()
     row = F.struct("__id", "__rk")
-    known = common.materialize(solid.join(nodes, "node").groupBy("node").agg(F.min(row).alias("r"), F.min("signature").alias("signature")).select("node", "r.*", "signature"), "nodes")
+    known = solid.groupBy("node").agg(F.min(row).alias("r"), F.min("bands").alias("bands"), F.min("planes").alias("planes"))
+    known = common.materialize(known.join(nodes, "node", "left_semi").select("node", "r.*", "bands", "planes"), "nodes")
     wanted = common.key_filter(known, "__rk")
     texts = common.materialize(common.filtered_texts(keyed, wanted, ["__id", "__rk", "text"]).join(known.select("__id", "__rk", "node"), ["__id", "__rk"]).dropDuplicates(["node"]).select("node", "text"), "node-texts")
-    signatures = known.select("node", "signature")
+    planes = known.select("node", "planes")
 
-    def linked(pairs: DataFrame, tag: str) -> DataFrame:
-        a = signatures.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
-        b = signatures.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-        likely = common.materialize(pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(_likely(least - spread), "a long, b long"), "likely")
+    def near_only(pairs: DataFrame) -> DataFrame:
+        a = planes.select(F.col("node").alias("a"), F.col("planes").alias("planes_a"))
+        b = planes.select(F.col("node").alias("b"), F.col("planes").alias("planes_b"))
+        return pairs.join(a, "a").join(b, "b").where(_near("planes_a", "planes_b")).select("a", "b")
+
+    def linked(pairs: DataFrame) -> DataFrame:
         ta = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         tb = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        return common.materialize(likely.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify(least), "a long, b long, similarity double"), tag)
+        return common.materialize(pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify(least), "a long, b long, similarity double"), "links")
 
-    tested = common.materialize(_hub_pairs(buckets), "hub-pairs")
-    links = linked(tested, "links")
+    tested = common.materialize(_hub_pairs(buckets.withColumn("root", F.col("node"))), "hub-pairs")
+    links = linked(near_only(tested))
     roots = common.components(links)
-    level = buckets
-    for _ in range(2):
-        roots = common.materialize(roots, "roots")
-        classed = level.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        open_keys = classed.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi and n > 2").select("key", "n")
-        classed = common.materialize(classed.join(open_keys, "key"), "open-buckets")
-        pairs = _inner_pairs(classed.where(F.col("n") <= SMALL)).join(tested, ["a", "b"], "left_anti")
-        # Larger buckets with several classes: nodes that agree in one more band key.
-        large = classed.where(F.col("n") > SMALL).select("key", "node")
-        other = large.select(F.col("key").alias("more"), "node")
-        level = common.materialize(large.join(other, "node").where("key < more").select(F.xxhash64("key", "more").alias("key"), "node"), "split-buckets")
-        if not level.isEmpty():
-            pairs = pairs.union(_hub_pairs(level).join(tested, ["a", "b"], "left_anti")).distinct()
-        pairs = common.materialize(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        found = linked(pairs, "links")
+
+    def try_pairs(pairs: DataFrame, filtered: bool = False) -> None:
+        nonlocal tested, links, roots
+        pairs = common.materialize(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs", small=True)
+        found = linked(pairs if filtered else near_only(pairs))
+        tested = tested.unionByName(pairs)
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = common.components(links)
-        tested = common.materialize(tested.unionByName(pairs), "tested")
-        if level.isEmpty():
-            break
-    roots = common.materialize(roots, "roots")
+
+    def still_open(rows: DataFrame) -> DataFrame:
+        """Buckets (key, node, band, root, n) that hold several classes."""
+        classed = rows.select("key", "node", "band").join(roots, "node", "left").select("key", "node", "band", F.coalesce("root", "node").alias("root"))
+        keys = classed.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi and n > 2").select("key", "n")
+        return classed.join(keys, "key")
+
+    # What the first hubs leave open: large buckets are split by one more band and get other hubs.
+    level = common.materialize(still_open(buckets), "open-buckets", small=True)
+    finer = common.materialize(_split(level.where(F.col("n") > SMALL), known.select("node", "bands")), "split-buckets", small=True)
+    classed = still_open(finer)
+    try_pairs(_hub_pairs(classed).union(_other_hub_pairs(classed)))
+    # Now classes are nearly whole, and few near pairs of small buckets lie between them.
+    inner = [_inner_pairs(still_open(rows).where(F.col("n") <= SMALL), known, once) for rows, once in ((level, True), (finer, False))]
+    try_pairs(inner[0].union(inner[1]), filtered=True)
 
     classed = solid.select("__id", "__rk", "doc_id", "node").join(roots, "node", "left").select("__id", "__rk", "doc_id", F.coalesce("root", "node").alias("root"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__rk")
