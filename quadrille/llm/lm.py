@@ -34,6 +34,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -267,7 +268,7 @@ def fit_weights(counts: np.ndarray) -> np.ndarray:
 _SCORED = "__id long, __rk long, doc_id long, n_tokens long, n_head long, head_sum double, score double, tail array<long>"
 
 
-def _score(shared):
+def _score(shared, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         head, exact = model.head
@@ -276,7 +277,7 @@ def _score(shared):
             for i, j in texts.chunks(CHUNK // 4):
                 token, before, offsets = tokens(texts, i, j)
                 p1, pair, context, level, (unique, inverse) = model.estimates(token, before)
-                weight = np.where(context > 0, model.weights[level], 0.0)
+                weight = np.where(context > 0, weights[level], 0.0)
                 p2 = np.minimum(1.0, pair / np.maximum(1.0, context))
                 logs = np.log10((1 - weight) * p1 + weight * p2)
                 at = np.minimum(np.searchsorted(head, unique), max(0, len(head) - 1))
@@ -293,8 +294,8 @@ def _score(shared):
     return run
 
 
-def train(texts: DataFrame, filter_bits: int = 1 << 29, head: int = 1 << 20, full: float = 0.5) -> tuple[Model, DataFrame]:
-    """The model of a DataFrame (text), and the table of its packed counts."""
+def train(texts: DataFrame, filter_bits: int = 1 << 29, head: int = 1 << 20, full: float = 0.5) -> tuple[Model, DataFrame, Broadcast]:
+    """The model of a DataFrame (text), the table of its packed counts, and the broadcast filter (a Model without weights)."""
     spark = texts.sparkSession
     buckets = 8 * common.parallelism(texts)
     packed = texts.select("text").mapInArrow(_count(buckets), _PACKED)
@@ -338,9 +339,8 @@ def train(texts: DataFrame, filter_bits: int = 1 << 29, head: int = 1 << 20, ful
     counts = np.zeros((LEVELS, RATIOS), np.int64)
     for r in texts.select("text").mapInArrow(_calibrate(shared), "level int, bin int, n long").groupBy("level", "bin").agg(F.sum("n").alias("n")).collect():
         counts[r.level, r.bin] = r.n
-    shared.unpersist()
     model.weights = fit_weights(counts)
-    return model, merged
+    return model, merged, shared
 
 
 def _above(least: int):
@@ -363,9 +363,8 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     """
     keyed = common.row_keys(docs, id_col, text_col)
     held_out = F.coalesce(held_out, F.lit(False))
-    model, merged = train(keyed.where(~held_out).select("text"), **options)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = common.materialize(keyed.mapInArrow(_score(shared), _SCORED), "scores")
+    model, merged, shared = train(keyed.where(~held_out).select("text"), **options)
+    scored = common.materialize(keyed.mapInArrow(_score(shared, model.weights), _SCORED), "scores")
 
     # Rare words: their counts are joined by hash. Rows that repeat id and text are scored once and repeated.
     rare = merged.where("kind = 0").select("hashes", "counts").mapInArrow(_unpack(model.head_least), "hash long, count long")

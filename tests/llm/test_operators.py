@@ -424,7 +424,7 @@ def test_language_model_base_is_exact(spark):
 
 def test_filter_returns_what_was_stored(spark):
     texts = spark.createDataFrame([("alpha beta " * 50 + "gamma",), ("beta gamma delta",)], "text string")
-    model, _ = lm.train(texts, filter_bits=1 << 22)
+    model, _, _ = lm.train(texts, filter_bits=1 << 22)
     import pyarrow as pa
 
     token, before, _ = lm.tokens(common.Texts(pa.array(["alpha beta gamma delta never"])), 0, 1)
@@ -435,8 +435,8 @@ def test_filter_returns_what_was_stored(spark):
 
 def test_thresholds_rise_when_bits_do_not_suffice(spark):
     texts = spark.createDataFrame([(" ".join(f"w{i % 900}" for i in range(k, k + 900)),) for k in range(20)], "text string")
-    small, _ = lm.train(texts, filter_bits=1 << 13)
-    large, _ = lm.train(texts, filter_bits=1 << 22)
+    small, _, _ = lm.train(texts, filter_bits=1 << 13)
+    large, _, _ = lm.train(texts, filter_bits=1 << 22)
     assert small.shape.least > large.shape.least == (1, 2)
 
 
