@@ -13,10 +13,10 @@ node before any pair is made. A band key's nodes are not paired with each
 other but with a hub, the node that shares the most keys with others. Large
 buckets that still hold several classes are split by further bands of their
 nodes and get hubs again. At last, nodes of small buckets that are still in
-different classes are compared by short signatures, and the near ones paired. A pair goes
-through a comparison of short signatures and then an exact computation of the
-similarity from the texts.
-Classes are the connected components of the exact links.
+different classes are compared by short signatures, and the near ones paired. A
+pair goes through a comparison of short signatures and then an exact
+computation of the similarity from the texts. Classes are the connected
+components of the exact links.
 
 Null texts and texts without words have no shingles; each is a class of its
 own. Rows with equal ids are rows of their own; a class is named by its
@@ -280,8 +280,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     # What the first hubs leave open: large buckets are split by one more band and get other hubs.
     level = common.materialize(still_open(buckets), "open-buckets", small=True)
     finer = common.materialize(_split(level.where(F.col("n") > SMALL), known.select("node", "bands")), "split-buckets", small=True)
-    classed = still_open(finer)
-    try_pairs(_hub_pairs(classed).union(_other_hub_pairs(classed)))
+    try_pairs(_other_hub_pairs(still_open(finer)))
     # Now classes are nearly whole, and few near pairs of small buckets lie between them.
     inner = [_inner_pairs(still_open(rows).where(F.col("n") <= SMALL), known, once) for rows, once in ((level, True), (finer, False))]
     try_pairs(inner[0].union(inner[1]), filtered=True)
