@@ -268,11 +268,12 @@ class WordBpe:
 _LOADED: dict[str, WordBpe] = {}
 
 
-def load(path: str) -> WordBpe:
-    """One vocabulary for each path and worker."""
+def load(path: str, words_kept: int = WordBpe.KEEP) -> WordBpe:
+    """One vocabulary for each path and worker; words_kept bounds each generation of its table of words."""
     if path not in _LOADED:
         _LOADED[path] = WordBpe(path)
         common.keeps("bpe", _LOADED.clear)
+    _LOADED[path].words.keep = words_kept
     return _LOADED[path]
 
 

@@ -80,11 +80,11 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return out
 
 
-def _pieces(vocabulary: str, end_id: int, capacity: int):
+def _pieces(vocabulary: str, end_id: int, capacity: int, words_kept: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = bpe.load(vocabulary)
+        encoder = bpe.load(vocabulary, words_kept)
         task = TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
         for batch in batches:
@@ -102,10 +102,10 @@ def _pieces(vocabulary: str, end_id: int, capacity: int):
     return run
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", words_kept: int = bpe.WordBpe.KEEP) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32, sequence_id, offset), one for each piece."""
     spark = docs.sparkSession
-    made = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_pieces(vocabulary, end_id, capacity), PIECES)
+    made = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_pieces(vocabulary, end_id, capacity, words_kept), PIECES)
     pieces = common.materialize(made, "pieces")
     by_task = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
     # A group of this window has one row for each task, not for each document.
