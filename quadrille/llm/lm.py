@@ -7,11 +7,15 @@ over the whole training corpus.
 Filter. A count is quantised to a level, 1 + floor(log(count / least) / log(base)),
 and an entry is stored once for each level up to its own, so a lookup probes
 level 1, 2, ... until one is missing, and the last one found gives the mean
-count of its level. Every hash range has a segment of its own, so a range's
-segment is built where its counts are. The filter has a fixed number of bits,
-which bounds what is broadcast; entries of small counts (pairs seen once, and
-more when the bits do not suffice) are left to the smoothing, by one threshold
-for each order, chosen from the histogram of all counts.
+count of its level. Every hash range has a segment of its own, which is sized by
+the range's entries, built where its counts are and probed there: chunks of texts
+ask every range for the words and pairs they hold and get levels back. All words
+and pairs enter, those seen once as well, and the filter grows with the input.
+
+A caller may bound the filter instead (`filter_bits`): it is broadcast then, and
+entries of small counts (pairs seen once, and more when the bits do not suffice)
+are left to the smoothing, by one threshold for each order, chosen from the
+histogram of all counts.
 
 Model. P(w | h) = (1 - l) P1(w) + l c(h w) / c(h), where P1 is the additive
 unigram model and l depends on the level of c(h). The weights l are fitted on
@@ -19,8 +23,9 @@ all training texts, each token with its own occurrence taken out, from a
 histogram of the ratio of both estimates. Words are lower-cased (A-Z); a text
 is its words and one end token; the first word follows an end token.
 
-Base score. Exact counts: those of frequent words (at most `head` of them) are
-broadcast, those of all other words are joined by hash.
+Base score. Exact counts, which come back with the levels. With a bounded filter
+those of frequent words (at most `head` of them) are broadcast, and those of all
+other words are joined by hash.
 
 Null is the empty text, which is its end token alone. A row without an id is
 a training row. Rows that repeat id and text are scored and counted one by one.
@@ -34,7 +39,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +51,7 @@ _PAIR = U64(0x2545F4914F6CDD1D)
 _GOLDEN = U64(0x9E3779B97F4A7C15)
 CHUNK = 8 << 20
 LEVELS, RATIOS = 64, 64
+SPARSE = 1 / 16  # of a segment's bits that are set; with four probes 1 of 65,000 lookups of nothing finds something
 
 
 def tokens(texts: common.Texts, i: int, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -240,17 +246,25 @@ def _calibrate(shared):
             for i, j in texts.chunks(CHUNK // 4):
                 token, before, _ = tokens(texts, i, j)
                 p1, pair, context, level, _ = model.estimates(token, before)
-                # Without the token's own occurrence, a pair must still reach the filter's threshold.
-                pair = np.where(pair - 1 >= model.shape.least[1] - 1e-9, pair - 1, 0)
-                p2 = np.minimum(1.0, pair / np.maximum(1.0, context - 1))
-                bins = np.where(p2 > 0, np.clip(np.round(4 * np.log2(np.maximum(p2, 1e-12) / p1)).astype(np.int64) + 16, 1, RATIOS - 1), 0)
-                counts += np.bincount(level.astype(np.int64) * RATIOS + bins, minlength=LEVELS * RATIOS).reshape(LEVELS, RATIOS)
-        spot = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array((spot // RATIOS).astype(np.int32)), pa.array((spot % RATIOS).astype(np.int32)), pa.array(counts.ravel()[spot])], names=["level", "bin", "n"])
+                counts += _ratios(p1, pair, context, level, model.shape.least[1])
+        yield _binned(counts)
 
     return run
 
 
+def _ratios(p1: np.ndarray, pair: np.ndarray, context: np.ndarray, level: np.ndarray, least: int) -> np.ndarray:
+    # Without the token's own occurrence, a pair must still reach the filter's threshold.
+    pair = np.where(pair - 1 >= least - 1e-9, pair - 1, 0)
+    p2 = np.minimum(1.0, pair / np.maximum(1.0, context - 1))
+    bins = np.where(p2 > 0, np.clip(np.round(4 * np.log2(np.maximum(p2, 1e-12) / p1)).astype(np.int64) + 16, 1, RATIOS - 1), 0)
+    return np.bincount(level.astype(np.int64) * RATIOS + bins, minlength=LEVELS * RATIOS).reshape(LEVELS, RATIOS)
+
+
+def _binned(counts: np.ndarray) -> pa.RecordBatch:
+    spot = np.flatnonzero(counts)
+    return pa.RecordBatch.from_arrays([pa.array((spot // RATIOS).astype(np.int32)), pa.array((spot % RATIOS).astype(np.int32)), pa.array(counts.ravel()[spot])], names=["level", "bin", "n"])
+
+
 def fit_weights(counts: np.ndarray) -> np.ndarray:
     """The mixture weight of each level that makes the counted ratios likeliest."""
     ratio = np.concatenate([[0.0], 2.0 ** ((np.arange(1, RATIOS) - 16) / 4)])
@@ -356,14 +370,189 @@ def _above(least: int):
     return run
 
 
-def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+# ---------------------------------------------------------------- the whole filter, by hash range
+
+
+_CHUNKS = "chunk long, doc_ids array<long>, held array<boolean>, texts array<string>"
+
+
+def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, held, text) as one row for each chunk of texts."""
+    chunk = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for i, j in common.Texts(batch.column("text")).chunks(CHUNK // 2):
+            ends = pa.array([0, j - i], pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, batch.column(k)[i:j]) for k in ("doc_id", "held", "text")]
+            yield pa.RecordBatch.from_arrays([pa.array([chunk]), *lists], names=["chunk", "doc_ids", "held", "texts"])
+            chunk += 1
+
+
+_ASKED = "kind int, bucket int, chunk long, hashes binary, counts binary"
+
+
+def _ask(buckets: int):
+    """The distinct words and pairs of each chunk by hash range, with their counts in its training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                texts = common.Texts(batch.column("texts")[k].values)
+                token, before, offsets = tokens(texts, 0, texts.n)
+                held = batch.column("held")[k].values.to_numpy(zero_copy_only=False)
+                learnt = np.repeat(~held.astype(bool), np.diff(offsets)).astype(np.int64)
+                for kind, keys in ((0, token), (1, pairs(before, token))):
+                    h, n = add_up(keys, learnt)
+                    cut = np.searchsorted(ranges(h, buckets), np.arange(buckets + 1))
+                    some = np.flatnonzero(np.diff(cut))
+                    n = n.astype("<u4")
+                    spans = [(cut[b], cut[b + 1]) for b in some]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(some), kind, np.int32)),
+                            pa.array(some.astype(np.int32)),
+                            pa.array(np.full(len(some), batch.column("chunk")[k].as_py())),
+                            pa.array([h[a:b].tobytes() for a, b in spans], pa.binary()),
+                            pa.array([n[a:b].tobytes() for a, b in spans], pa.binary()),
+                        ],
+                        names=["kind", "bucket", "chunk", "hashes", "counts"],
+                    )
+
+    return run
+
+
+def segment(h: np.ndarray, n: np.ndarray) -> Model:
+    """The filter of one hash range, with room for every entry."""
+    shape = Shape(1, (64, 64), (1, 1))
+    level = shape.level(n, 0)
+    bits = max(64, math.ceil(shape.probes * int(level.sum()) / SPARSE / 64) * 64)
+    shape.bits = (bits, bits)
+    flags = np.zeros(bits, np.uint8)
+    for k in range(1, int(level.max()) + 1 if len(level) else 0):
+        for spot in shape.spots(h[level >= k], k, 0):
+            flags[spot.astype(np.int64)] = 1
+    sums = np.bincount(level, weights=n, minlength=LEVELS)[:LEVELS]
+    sizes = np.bincount(level, minlength=LEVELS)[:LEVELS]
+    data = np.packbits(flags, bitorder="little")
+    return Model(shape, (data, data), np.array([sums, sizes]), int(n.sum()), len(n), (h[:0], n[:0]), 1)
+
+
+_ANSWERED = "kind int, bucket int, chunk long, levels binary, counts binary, distinct long, total long, sums array<double>, sizes array<long>"
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """A hash range: counts added up, the segment built, and the levels of each chunk's entries; one more row (without chunk) sums up."""
+    hashes = [np.frombuffer(x, U64) for x in table["hashes"].to_pylist()]
+    every = np.concatenate(hashes)
+    h, n = add_up(every, np.frombuffer(b"".join(table["counts"].to_pylist()), "<u4").astype(np.int64))
+    made = segment(h[n > 0], n[n > 0])
+    level = made.levels(h, 0)
+    kind, bucket, rows = table["kind"][0].as_py(), table["bucket"][0].as_py(), table.num_rows
+    at = [np.searchsorted(h, x) for x in hashes]
+    counts = [n[x].astype("<i8").tobytes() if kind == 0 else None for x in at]
+    columns = [[kind] * (rows + 1), [bucket] * (rows + 1), [*table["chunk"].to_pylist(), None], [*(level[x].tobytes() for x in at), None], [*counts, None]]
+    columns += [[None] * rows + [x] for x in (made.distinct, made.total, made.means[0].tolist(), made.means[1].astype(np.int64).tolist())]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64())]
+    return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], names=[c.split()[0] for c in _ANSWERED.split(", ")])
+
+
+_LEVELLED = "doc_id long, held boolean, n_tokens long, n_known long, base double, words binary, pairs binary"
+
+
+def _level(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+    """One row for each text of a chunk: sums over exact counts, and the levels of its tokens and pairs."""
+    answers = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+    kind = answers["kind"].to_numpy()
+    levels = answers["levels"].to_pylist()
+    # Ranges ascend as hashes do, so that the answers stand in the order of the chunk's distinct hashes.
+    word, pair = (np.frombuffer(b"".join(levels[k] for k in np.flatnonzero(kind == x)), np.int8) for x in (0, 1))
+    count = np.frombuffer(b"".join(answers["counts"].to_pylist()[k] for k in np.flatnonzero(kind == 0)), "<i8")
+    ids, held, texts = (chunk[k].combine_chunks()[0].values for k in ("doc_ids", "held", "texts"))
+    texts = common.Texts(texts)
+    token, before, offsets = tokens(texts, 0, texts.n)
+    _, place = np.unique(token, return_inverse=True)
+    _, pair_place = np.unique(pairs(before, token), return_inverse=True)
+    word, pair, count = word[place], pair[pair_place], count[place]
+    cut = offsets[:-1]
+    spans = list(zip(offsets[:-1], offsets[1:]))
+    columns = [ids, held, np.diff(offsets), np.add.reduceat((count > 0).astype(np.int64), cut), np.add.reduceat(np.log10(count + 0.1), cut)]
+    columns += [pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (word, pair)]
+    return pa.table(columns, names=[c.split()[0] for c in _LEVELLED.split(", ")])
+
+
+def _looked_up(batch: pa.RecordBatch, means: np.ndarray, scale: float) -> tuple:
+    """(P1, the pair's count, the context's count and level) of the tokens of a batch's texts, and text offsets."""
+    word, pair = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.int8) for k in ("words", "pairs"))
+    offsets = np.concatenate([[0], np.cumsum(batch.column("n_tokens").to_numpy())])
+    level = np.empty_like(word)
+    level[1:] = word[:-1]
+    level[offsets[:-1]] = word[offsets[1:] - 1]  # before a text's first token is an end, as at its own end
+    return (means[0][word] + 0.1) / scale, means[1][pair], means[0][level], level, offsets
+
+
+def _calibrate_levels(means: np.ndarray, scale: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((LEVELS, RATIOS), np.int64)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1000):
+                p1, pair, context, level, _ = _looked_up(batch.slice(i, 1000), means, scale)
+                counts += _ratios(p1, pair, context, level, 1)
+        yield _binned(counts)
+
+    return run
+
+
+_WHOLE = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _score_levels(means: np.ndarray, scale: float, total: int, weights: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, 1000):
+                batch = whole.slice(i, 1000)
+                p1, pair, context, level, offsets = _looked_up(batch, means, scale)
+                weight = np.where(context > 0, weights[level], 0.0)
+                logs = np.log10((1 - weight) * p1 + weight * np.minimum(1.0, pair / np.maximum(1.0, context)))
+                base = batch.column("base").to_numpy() - np.diff(offsets) * math.log10(scale)
+                columns = [batch.column(k) for k in ("doc_id", "held", "n_tokens", "n_known")]
+                columns += [pa.array(np.full(batch.num_rows, total)), pa.array(base), pa.array(np.add.reduceat(logs, offsets[:-1]))]
+                yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _WHOLE.split(", ")])
+
+    return run
+
+
+def _score_whole(docs: DataFrame, held_out: Column, id_col: str, text_col: str) -> DataFrame:
+    rows = common.row_keys(docs, id_col, text_col).select("doc_id", held_out.alias("held"), "text")
+    chunks = common.materialize(rows.mapInArrow(_chunk, _CHUNKS), "chunks")
+    asked = chunks.mapInArrow(_ask(2 * common.parallelism(docs)), _ASKED)
+    answered = common.materialize(asked.groupBy("kind", "bucket").applyInArrow(_answer, _ANSWERED), "levels")
+    sums = answered.where("chunk is null")
+    of = {r.kind: r for r in sums.groupBy("kind").agg(F.sum("distinct").alias("distinct"), F.sum("total").alias("total")).collect()}
+    by_level = sums.select("kind", F.posexplode(F.arrays_zip("sums", "sizes")).alias("level", "s")).groupBy("kind", "level").agg(F.sum("s.sums").alias("total"), F.sum("s.sizes").alias("n")).where("n > 0").collect()
+    means = np.zeros((2, LEVELS))
+    for r in by_level:
+        means[r.kind][r.level] = r.total / r.n
+    total, distinct = (of[0].total, of[0].distinct) if of else (0, 0)
+    scale = total + 0.1 * (distinct + 1)
+
+    answers = answered.where("chunk is not null").select("kind", "bucket", "chunk", "levels", "counts")
+    levelled = common.materialize(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_level, _LEVELLED), "token-levels")
+    counts = np.zeros((LEVELS, RATIOS), np.int64)
+    for r in levelled.where("not held").mapInArrow(_calibrate_levels(means, scale), "level int, bin int, n long").groupBy("level", "bin").agg(F.sum("n").alias("n")).collect():
+        counts[r.level, r.bin] = r.n
+    return levelled.mapInArrow(_score_levels(means, scale, total, fit_weights(counts)), _WHOLE)
+
+
+def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", filter_bits: int | None = None, **options) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one for each row of docs.
 
     held_out is a condition on doc_id; the model learns from all other rows.
+    filter_bits bounds the filter at the price of small counts; without it all counts enter.
     """
-    keyed = common.row_keys(docs, id_col, text_col)
     held_out = F.coalesce(held_out, F.lit(False))
-    model, merged, shared = train(keyed.where(~held_out).select("text"), **options)
+    if filter_bits is None:
+        return _score_whole(docs, held_out, id_col, text_col)
+    keyed = common.row_keys(docs, id_col, text_col)
+    model, merged, shared = train(keyed.where(~held_out).select("text"), filter_bits, **options)
     scored = common.materialize(keyed.mapInArrow(_score(shared, model.weights), _SCORED), "scores")
 
     # Rare words: their counts are joined by hash. Rows that repeat id and text are scored once and repeated.

@@ -440,6 +440,40 @@ def test_thresholds_rise_when_bits_do_not_suffice(spark):
     assert small.shape.least > large.shape.least == (1, 2)
 
 
+def test_pairs_seen_once_enter_the_filter(spark):
+    train = [f"left{k} right{k} left{k}x right{k}x" for k in range(300)]
+    rows = list(enumerate(train)) + [(1000, "left5 right5 left9 right9"), (1001, "left5 right9 left9 right5"), (None, None), (None, None)]
+    got = lm.score_documents(frame(spark, rows), F.col("doc_id") >= 1000).collect()
+    assert len(got) == len(rows)
+    seen, swapped = (next(r for r in got if r.doc_id == i) for i in (1000, 1001))
+    assert seen.held_out and math.isclose(seen.base_score, swapped.base_score)
+    assert seen.score > swapped.score + 0.001
+
+
+def test_whole_filter_base_is_exact_and_score_near_exact_counts(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK", 2000)  # many chunks, each asking every range
+    rows = corpus(seed=12)
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
+    words = lambda t: [*(t or "").encode().lower().split(), "end"]
+    one = Counter(x for i, t in rows if not held(i) for x in words(t))
+    total, scale = sum(one.values()), sum(one.values()) + 0.1 * (len(one) + 1)
+    got = lm.score_documents(frame(spark, rows), quality.remainder(F.col("doc_id"), 10) == 0).collect()
+    want = Counter((i, held(i), len(words(t)), sum(one[x] > 0 for x in words(t)), total, round(sum(math.log10((one[x] + 0.1) / scale) for x in words(t)), 6)) for i, t in rows)
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
+    assert all(r.score <= 0 for r in got)
+
+
+def test_segments_hold_every_entry():
+    n = np.ones(200_000, np.int64)
+    h = common.mix(np.arange(len(n), dtype=np.uint64))
+    n[:1000] = 1000
+    h, n = lm.add_up(h, n)
+    made = lm.segment(h, n)
+    assert (made.levels(h, 0) >= made.shape.level(n, 0)).all()
+    other = common.mix(np.arange(len(n), 2 * len(n), dtype=np.uint64))
+    assert (made.levels(other, 0) > 0).mean() < 1e-3
+
+
 # ---------------------------------------------------------------- 9
 
 
