@@ -12,9 +12,9 @@ Candidates come from bands of the signature. Documents of equal words are one
 node before any pair is made. A band key's nodes are not paired with each
 other but with a hub, the node that shares the most keys with others. Large
 buckets that still hold several classes are split by further bands of their
-nodes and get hubs again. At last, nodes of small buckets that are still in
-different classes are compared by short signatures, and the near ones paired. A
-pair goes through a comparison of short signatures and then an exact
+nodes and get hubs again. At last, all nodes of a bucket that are still in
+different classes are compared by short signatures, block by block where the
+bucket is large, and the near ones paired. A pair goes through a comparison of short signatures and then an exact
 computation of the similarity from the texts. Classes are the connected
 components of the exact links.
 
@@ -37,7 +37,8 @@ from . import common
 from .common import U64
 
 SHINGLE, SLOTS, BANDED, ROWS = 5, 256, 128, 4  # bands are made of the first BANDED slots
-SMALL = 256  # nodes of a bucket that are compared with each other
+SMALL = 256  # nodes of a bucket that needs no second hubs before its nodes are compared with each other
+BLOCK = 4096  # nodes of a bucket that one task compares with as many others
 #: Of 256 slots, how many may differ in their lowest four bits for a closer look (at similarity 0.8: 48, deviation 6.2).
 FAR = 64
 _GOLDEN = U64(0x9E3779B97F4A7C15)
@@ -197,18 +198,19 @@ def _pairs_with(buckets: DataFrame, hub: DataFrame) -> DataFrame:
     return buckets.join(hub, "key").where("root != hub_root").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _inner_pairs(classed: DataFrame, known: DataFrame, once: bool) -> DataFrame:
-    """Pairs of nodes of small buckets (key, node, band, root) that are in different classes and whose short signatures are near; the others are never rows.
+def _inner_pairs(classed: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of nodes of a bucket (key, node, band, root, n) that are in different classes and whose short signatures are near; the others are never rows.
 
-    once: a pair comes from the first band that both share, not from every one.
+    A bucket's nodes fall into blocks, and every block meets every block. A pair
+    comes from the first band that both share, not from every one.
     """
-    both = classed.select("key", "node", "band", "root").join(known.select("node", "planes", "bands"), "node")
-    x, y = (both.select(F.col("key").alias(f"key_{k}"), F.col("node").alias(k), F.col("root").alias(f"root_{k}"), F.col("planes").alias(f"planes_{k}"), F.col("bands").alias(f"bands_{k}"), F.col("band").alias(f"band_{k}")) for k in ("a", "b"))
-    near = (F.col("key_a") == F.col("key_b")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _near("planes_a", "planes_b")
-    if once:
-        earlier = [(F.lit(i) < F.col("band_a")) & (F.get("bands_a", F.lit(i)) == F.get("bands_b", F.lit(i))) for i in range(BANDED // ROWS - 1)]
-        near = near & ~reduce(Column.__or__, earlier)
-    return x.join(y, near).select("a", "b")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    both = classed.select("key", "node", "band", "root", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block")).join(known.select("node", "planes", "bands"), "node")
+    met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("met")
+    x, y = (both.select(F.col("key").alias(f"key_{k}"), F.col("node").alias(k), F.col("root").alias(f"root_{k}"), F.col("planes").alias(f"planes_{k}"), F.col("bands").alias(f"bands_{k}"), F.col("band").alias(f"band_{k}"), F.col("block").alias(f"block_{k}"), met.alias(f"met_{k}")) for k in ("a", "b"))
+    near = (F.col("key_a") == F.col("key_b")) & (F.col("block_a") == F.col("met_b")) & (F.col("met_a") == F.col("block_b")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _near("planes_a", "planes_b")
+    earlier = [(F.lit(i) < F.col("band_a")) & (F.get("bands_a", F.lit(i)) == F.get("bands_b", F.lit(i))) for i in range(BANDED // ROWS - 1)]
+    return x.join(y, near & ~reduce(Column.__or__, earlier)).select("a", "b")
 
 
 def _split(large: DataFrame, bands: DataFrame, further: int = 3) -> DataFrame:
@@ -281,9 +283,8 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     level = common.materialize(still_open(buckets), "open-buckets", small=True)
     finer = common.materialize(_split(level.where(F.col("n") > SMALL), known.select("node", "bands")), "split-buckets", small=True)
     try_pairs(_other_hub_pairs(still_open(finer)))
-    # Now classes are nearly whole, and few near pairs of small buckets lie between them.
-    inner = [_inner_pairs(still_open(rows).where(F.col("n") <= SMALL), known, once) for rows, once in ((level, True), (finer, False))]
-    try_pairs(inner[0].union(inner[1]), filtered=True)
+    # Now classes are nearly whole, and few near pairs lie between them. A split bucket's pairs are pairs of the whole one, too.
+    try_pairs(_inner_pairs(still_open(level), known), filtered=True)
 
     classed = solid.select("__id", "__rk", "doc_id", "node").join(roots, "node", "left").select("__id", "__rk", "doc_id", F.coalesce("root", "node").alias("root"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__rk")

@@ -214,6 +214,25 @@ def test_near_duplicates_of_a_large_group(spark):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
 
 
+def family(n, own=2, single=12, shared=100):
+    """n couples on one template: alike within a couple (0.803), less so across couples (0.774)."""
+    base = " ".join(f"t{k}" for k in range(shared))
+    couple = lambda c: " ".join(f"c{c}-{k}" for k in range(own))
+    alone = lambda i: " ".join(f"s{i}-{k}" for k in range(single))
+    return [(i, f"{base} {couple(i // 2)} {alone(i)}") for i in range(2 * n)]
+
+
+def test_near_duplicates_in_a_family_of_many_open_nodes(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "SMALL", 4)
+    monkeypatch.setattr(minhash, "BLOCK", 50, raising=False)  # several blocks in a bucket
+    rows = family(160)
+    sets = [shingle_counts(t) for _, t in rows[:4]]
+    assert jaccard(sets[0], sets[1]) >= 0.8 > jaccard(sets[0], sets[2])
+    got = minhash.near_duplicates(frame(spark, rows)).collect()
+    right = sum(r.class_id == r.doc_id // 2 * 2 and r.class_size == 2 for r in got)
+    assert len(got) == len(rows) and right >= 0.95 * len(rows)  # short signatures miss a few
+
+
 # ---------------------------------------------------------------- 4 and 10
 
 
