@@ -273,18 +273,18 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
             links = links.unionByName(found)
             roots = common.components(links)
 
-    def still_open(rows: DataFrame) -> DataFrame:
-        """Buckets (key, node, band, root, n) that hold several classes."""
+    def still_open(rows: DataFrame, tried: int = 0) -> DataFrame:
+        """Buckets (key, node, band, root, n) of more than `tried` nodes that hold several classes."""
         classed = rows.select("key", "node", "band").join(roots, "node", "left").select("key", "node", "band", F.coalesce("root", "node").alias("root"))
-        keys = classed.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi and n > 2").select("key", "n")
+        keys = classed.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where(f"lo != hi and n > {tried}").select("key", "n")
         return classed.join(keys, "key")
 
-    # What the first hubs leave open: large buckets are split by one more band and get other hubs.
-    level = common.materialize(still_open(buckets), "open-buckets", small=True)
+    # What the first hubs leave open (two nodes of a whole bucket were node and hub): large buckets are split by one more band and get other hubs.
+    level = common.materialize(still_open(buckets, tried=2), "open-buckets", small=True)
     finer = common.materialize(_split(level.where(F.col("n") > SMALL), known.select("node", "bands")), "split-buckets", small=True)
     try_pairs(_other_hub_pairs(still_open(finer)))
     # Now classes are nearly whole, and few near pairs lie between them. A split bucket's pairs are pairs of the whole one, too.
-    try_pairs(_inner_pairs(still_open(level), known), filtered=True)
+    try_pairs(_inner_pairs(still_open(level, tried=2), known), filtered=True)
 
     classed = solid.select("__id", "__rk", "doc_id", "node").join(roots, "node", "left").select("__id", "__rk", "doc_id", F.coalesce("root", "node").alias("root"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__rk")
