@@ -25,6 +25,7 @@ smallest id (null if it has none). A node is named by a 64-bit hash of its words
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -39,8 +40,6 @@ from .common import U64
 SHINGLE, SLOTS, BANDED, ROWS = 5, 256, 128, 4  # bands are made of the first BANDED slots
 SMALL = 256  # nodes of a bucket that needs no second hubs before its nodes are compared with each other
 BLOCK = 4096  # nodes of a bucket that one task compares with as many others
-#: Of 256 slots, how many may differ in their lowest four bits for a closer look (at similarity 0.8: 48, deviation 6.2).
-FAR = 64
 _GOLDEN = U64(0x9E3779B97F4A7C15)
 
 
@@ -171,11 +170,17 @@ def _weighted(texts: common.Texts) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def _near(a: str, b: str) -> Column:
-    """Whether two short signatures (columns of planes) differ in few slots."""
+def far(least: float) -> int:
+    """How many slots may differ in their lowest four bits for a closer look: five deviations over what is expected at similarity `least` (80 at 0.8)."""
+    differ = (1 - least) * 15 / 16
+    return min(SLOTS, math.ceil(SLOTS * differ + 5 * math.sqrt(SLOTS * differ * (1 - differ))))
+
+
+def _near(a: str, b: str, least: float) -> Column:
+    """Whether two short signatures (columns of planes) differ in so few slots that the similarity may be `least`."""
     width = SLOTS // 64
     differ = [F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))) for i in range(4 * width)]
-    return reduce(Column.__add__, [F.bit_count(reduce(Column.bitwiseOR, differ[k::width])) for k in range(width)]) <= FAR
+    return reduce(Column.__add__, [F.bit_count(reduce(Column.bitwiseOR, differ[k::width])) for k in range(width)]) <= far(least)
 
 
 def _hub_pairs(buckets: DataFrame) -> DataFrame:
@@ -198,7 +203,7 @@ def _pairs_with(buckets: DataFrame, hub: DataFrame) -> DataFrame:
     return buckets.join(hub, "key").where("root != hub_root").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _inner_pairs(classed: DataFrame, known: DataFrame) -> DataFrame:
+def _inner_pairs(classed: DataFrame, known: DataFrame, least: float) -> DataFrame:
     """Pairs of nodes of a bucket (key, node, band, root, n) that are in different classes and whose short signatures are near; the others are never rows.
 
     A bucket's nodes fall into blocks, and every block meets every block. A pair
@@ -208,7 +213,7 @@ def _inner_pairs(classed: DataFrame, known: DataFrame) -> DataFrame:
     both = classed.select("key", "node", "band", "root", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block")).join(known.select("node", "planes", "bands"), "node")
     met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("met")
     x, y = (both.select(F.col("key").alias(f"key_{k}"), F.col("node").alias(k), F.col("root").alias(f"root_{k}"), F.col("planes").alias(f"planes_{k}"), F.col("bands").alias(f"bands_{k}"), F.col("band").alias(f"band_{k}"), F.col("block").alias(f"block_{k}"), met.alias(f"met_{k}")) for k in ("a", "b"))
-    near = (F.col("key_a") == F.col("key_b")) & (F.col("block_a") == F.col("met_b")) & (F.col("met_a") == F.col("block_b")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _near("planes_a", "planes_b")
+    near = (F.col("key_a") == F.col("key_b")) & (F.col("block_a") == F.col("met_b")) & (F.col("met_a") == F.col("block_b")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _near("planes_a", "planes_b", least)
     earlier = [(F.lit(i) < F.col("band_a")) & (F.get("bands_a", F.lit(i)) == F.get("bands_b", F.lit(i))) for i in range(BANDED // ROWS - 1)]
     return x.join(y, near & ~reduce(Column.__or__, earlier)).select("a", "b")
 
@@ -253,7 +258,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     def near_only(pairs: DataFrame) -> DataFrame:
         a = planes.select(F.col("node").alias("a"), F.col("planes").alias("planes_a"))
         b = planes.select(F.col("node").alias("b"), F.col("planes").alias("planes_b"))
-        return pairs.join(a, "a").join(b, "b").where(_near("planes_a", "planes_b")).select("a", "b")
+        return pairs.join(a, "a").join(b, "b").where(_near("planes_a", "planes_b", least)).select("a", "b")
 
     def linked(pairs: DataFrame) -> DataFrame:
         ta = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -284,7 +289,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     finer = common.materialize(_split(level.where(F.col("n") > SMALL), known.select("node", "bands")), "split-buckets", small=True)
     try_pairs(_other_hub_pairs(still_open(finer)))
     # Now classes are nearly whole, and few near pairs lie between them. A split bucket's pairs are pairs of the whole one, too.
-    try_pairs(_inner_pairs(still_open(level, tried=2), known), filtered=True)
+    try_pairs(_inner_pairs(still_open(level, tried=2), known, least), filtered=True)
 
     classed = solid.select("__id", "__rk", "doc_id", "node").join(roots, "node", "left").select("__id", "__rk", "doc_id", F.coalesce("root", "node").alias("root"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__rk")

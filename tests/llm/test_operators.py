@@ -230,7 +230,15 @@ def test_near_duplicates_in_a_family_of_many_open_nodes(spark, monkeypatch):
     assert jaccard(sets[0], sets[1]) >= 0.8 > jaccard(sets[0], sets[2])
     got = minhash.near_duplicates(frame(spark, rows)).collect()
     right = sum(r.class_id == r.doc_id // 2 * 2 and r.class_size == 2 for r in got)
-    assert len(got) == len(rows) and right >= 0.95 * len(rows)  # short signatures miss a few
+    assert len(got) == len(rows) and right == len(rows)
+
+
+def test_short_signatures_follow_the_least_similarity():
+    assert minhash.far(0.8) == 80
+    for least in (0.6, 0.7, 0.8, 0.9):
+        p = (1 - least) * 15 / 16
+        missed = sum(math.comb(256, k) * p**k * (1 - p) ** (256 - k) for k in range(minhash.far(least) + 1, 257))
+        assert missed < 1e-5
 
 
 # ---------------------------------------------------------------- 4 and 10
