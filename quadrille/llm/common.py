@@ -286,7 +286,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 30) ->
     """Rows (node, root) for all nodes of undirected edges; root is the smallest node of the component.
 
     Large-star and small-star steps in turn, each a minimum by node joined back
-    to the node's edges, until every node hangs on its root. A round is written
+    to the node's edges, until every node hangs on its root (an error if that takes over `most` rounds). A round is written
     to the shared folder, so a lost executor costs one round.
     """
     state = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
@@ -302,6 +302,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 30) ->
         ends = state.groupBy("u").agg(F.count("*").alias("n"))
         if state.join(ends.select(F.col("u").alias("v")), "v", "left_semi").isEmpty() and ends.where("n > 1").isEmpty():
             break
+    else:
+        raise RuntimeError(f"components: not converged after {most} rounds")
     leaves = state.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
     tops = state.select(F.col("v").alias("node")).distinct().join(leaves.select("node"), "node", "left_anti")
     return leaves.union(tops.select("node", F.col("node").alias("root")))

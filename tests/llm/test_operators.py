@@ -85,6 +85,13 @@ def test_components(spark):
     assert common.components(edges.where("a > 99")).count() == 0
 
 
+def test_components_never_stop_halfway(spark):
+    path = spark.range(40).selectExpr("id * 7 % 41 as a", "(id + 1) * 7 % 41 as b")
+    with pytest.raises(RuntimeError):
+        common.components(path, most=1)
+    assert {r.root for r in common.components(path).collect()} == {0}
+
+
 # ---------------------------------------------------------------- 1
 
 
