@@ -10,13 +10,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
@@ -66,11 +66,18 @@ def materialize(df: DataFrame, tag: str, small: bool = False) -> DataFrame:
     A small table (links, classes: few rows for each document) is written by an
     eighth of the usual number of tasks, as every file has a price of its own.
     """
+    return observed(df, tag, {"rows": F.count(F.lit(1))}, small)[0]
+
+
+def observed(df: DataFrame, tag: str, metrics: dict[str, Column], small: bool = False) -> tuple[DataFrame, dict]:
+    """materialize, and aggregates of what was written, which come with the same job."""
     spark = df.sparkSession
     path = scratch_path(spark, tag)
+    seen = Observation()
+    watched = df.observe(seen, *[c.alias(n) for n, c in metrics.items()])
     # Not zstd: its native buffers are freed only with the JVM's garbage, and many short tables are read here.
-    (df.coalesce(max(8, parallelism(df) // 8)) if small else df).write.option("compression", "snappy").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (watched.coalesce(max(8, parallelism(df) // 8)) if small else watched).write.option("compression", "snappy").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get
 
 
 def parallelism(df: DataFrame) -> int:
@@ -91,6 +98,33 @@ def keeps(operator: str, drop: Callable[[], None]) -> None:
     _KEPT[operator] = drop
 
 
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of batches that are sorted by long or int keys, one table each; a group may span batches."""
+    held: list[pa.RecordBatch] = []
+
+    def ends(batch: pa.RecordBatch) -> tuple:
+        return tuple(batch.column(k)[-1].as_py() for k in keys)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        new[0] = not held or ends(held[-1]) != tuple(c[0] for c in columns)
+        cuts = np.flatnonzero(new).tolist()
+        if cuts and held:
+            head = batch.slice(0, cuts[0])
+            yield pa.Table.from_batches([*held, head] if head.num_rows else held)
+            held = []
+        for a, b in zip(cuts, cuts[1:]):
+            yield pa.Table.from_batches([batch.slice(a, b - a)])
+        held.append(batch.slice(cuts[-1] if cuts else 0))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 # ---------------------------------------------------------------- Arrow texts
 
 
@@ -242,15 +276,15 @@ def key_filter(keys: DataFrame, column: str, bits: int = 1 << 23):
     """A broadcast Bloom filter (two probes, `bits` bits whatever the input) of a long column.
 
     It is or-ed together by word in Spark, so at most bits / 64 rows reach the
-    driver. Others than the keys may pass; a key always does.
+    driver, as Arrow batches. Others than the keys may pass; a key always does.
     """
     spot = F.col(column).bitwiseAND(F.lit(bits - 1))
     other = F.shiftrightunsigned(F.col(column), 32).bitwiseAND(F.lit(bits - 1))
     spots = keys.select(F.explode(F.array(spot, other)).alias("p"))
     words = spots.select(F.shiftright("p", 6).alias("w"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
     found = np.zeros(bits // 64, np.int64)
-    rows = words.collect()
-    found[[r.w for r in rows]] = [r.b for r in rows]
+    rows = words.toArrow()
+    found[rows["w"].to_numpy()] = rows["b"].to_numpy()
     return keys.sparkSession.sparkContext.broadcast(found)
 
 
@@ -286,24 +320,31 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 30) ->
     """Rows (node, root) for all nodes of undirected edges; root is the smallest node of the component.
 
     Large-star and small-star steps in turn, each a minimum by node joined back
-    to the node's edges, until every node hangs on its root (an error if that takes over `most` rounds). A round is written
-    to the shared folder, so a lost executor costs one round.
+    to the node's edges, until a round of two of both changes nothing, so that
+    every node hangs on its root (an error if that takes over `most` rounds). A
+    round is one job, written to the shared folder, and a checksum that comes
+    with it tells whether anything changed; a lost executor costs one round.
     """
     state = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
+    checksum = {"n": F.count(F.lit(1)), "x": F.bit_xor(F.xxhash64("u", "v"))}
+    before = None
     for _ in range(most):
-        both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        large = large.where("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        state = materialize(small.where("u != v").distinct(), "edges", small=True)
-        # Done when every edge leads from a node with one edge to a node with none: then all are stars.
-        ends = state.groupBy("u").agg(F.count("*").alias("n"))
-        if state.join(ends.select(F.col("u").alias("v")), "v", "left_semi").isEmpty() and ends.where("n > 1").isEmpty():
+        state, after = observed(_stars(_stars(state)), "edges", checksum, small=True)
+        if after == before or not after["n"]:
             break
+        before = after
     else:
         raise RuntimeError(f"components: not converged after {most} rounds")
-    leaves = state.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
-    tops = state.select(F.col("v").alias("node")).distinct().join(leaves.select("node"), "node", "left_anti")
-    return leaves.union(tops.select("node", F.col("node").alias("root")))
+    tops = state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return state.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(tops)
+
+
+def _stars(state: DataFrame) -> DataFrame:
+    """A large-star and a small-star step on edges (u, v), u > v."""
+    both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = both.groupBy("u").agg(F.min("v").alias("m"))
+    large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+    large = large.where("u != v").distinct()
+    least = large.groupBy("u").agg(F.min("v").alias("m"))
+    small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
+    return small.where("u != v").distinct()

@@ -10,13 +10,18 @@ the probability of their probability Jaccard similarity.
 
 Candidates come from bands of the signature. Documents of equal words are one
 node before any pair is made. A band key's nodes are not paired with each
-other but with a hub, the node that shares the most keys with others. Large
-buckets that still hold several classes are split by further bands of their
-nodes and get hubs again. At last, all nodes of a bucket that are still in
-different classes are compared by short signatures, block by block where the
-bucket is large, and the near ones paired. A pair goes through a comparison of short signatures and then an exact
-computation of the similarity from the texts. Classes are the connected
-components of the exact links.
+other but with two hubs, the node that shares the most keys with others and one
+that is another in every bucket. A pair goes through a comparison of short
+signatures and then an exact computation of the similarity from the texts.
+Classes are the connected components of the exact links.
+
+What hubs leave open are buckets that still hold several classes. Their nodes
+are compared with each other inside tasks, block by block where a bucket is
+large: short signatures first, which keep the nodes that have a near partner in
+another class, then the exact similarity from these nodes' texts. A task returns
+links between classes only, and none between classes that it has linked
+already, so pairs are never rows. A pair that shares several bands is looked at
+in one of them. Such links join classes to classes, not nodes to nodes.
 
 Null texts and texts without words have no shingles; each is a class of its
 own. Rows with equal ids are rows of their own; a class is named by its
@@ -38,8 +43,8 @@ from . import common
 from .common import U64
 
 SHINGLE, SLOTS, BANDED, ROWS = 5, 256, 128, 4  # bands are made of the first BANDED slots
-SMALL = 256  # nodes of a bucket that needs no second hubs before its nodes are compared with each other
-BLOCK = 4096  # nodes of a bucket that one task compares with as many others
+BLOCK, BLOCK_BYTES = 4096, 8 << 20  # nodes of a bucket, and bytes of their texts, that a task compares with as many others
+PAIRS = 1 << 18  # pairs of nodes compared at once
 _GOLDEN = U64(0x9E3779B97F4A7C15)
 
 
@@ -136,14 +141,15 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = band_keys(made[:, :BANDED])
             blank = pa.array(words.counts == 0)
             keep = [batch.column(k)[i:j] for k in ("__id", "__rk", "doc_id")]
+            size = pa.array(np.diff(texts.offsets[i : j + 1]))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * keys.shape[1]), pa.array(common.signed(keys.ravel()), pa.int64()))
             # Four bits of every slot, as four planes of one bit each.
             planes = np.hstack([np.packbits(((made >> U64(k)) & U64(1)).astype(bool), axis=1).view(np.int64) for k in range(4)])
             planes = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * planes.shape[1]), pa.array(planes.ravel(), pa.int64()))
-            yield pa.RecordBatch.from_arrays([*keep, blank, pa.array(common.signed(node)), lists, planes], names=["__id", "__rk", "doc_id", "blank", "node", "bands", "planes"])
+            yield pa.RecordBatch.from_arrays([*keep, blank, pa.array(common.signed(node)), size, lists, planes], names=["__id", "__rk", "doc_id", "blank", "node", "size", "bands", "planes"])
 
 
-_SIGNED = "__id long, __rk long, doc_id long, blank boolean, node long, bands array<long>, planes array<long>"
+_SIGNED = "__id long, __rk long, doc_id long, blank boolean, node long, size long, bands array<long>, planes array<long>"
 
 
 def _verify(least: float, rows: int = 256):
@@ -184,52 +190,110 @@ def _near(a: str, b: str, least: float) -> Column:
 
 
 def _hub_pairs(buckets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of every node of a bucket with the bucket's hub where that is in another class; buckets: (key, node, root)."""
-    buckets = buckets.select("key", "node", "root")
-    size = buckets.groupBy("key").agg(F.count("*").alias("n"))
-    weight = buckets.join(size, "key").groupBy("node").agg(F.sum("n").alias("w"))
-    weighted = buckets.join(weight, "node")
-    hub = weighted.groupBy("key").agg(F.max(F.struct("w", "node", "root")).alias("h")).select("key", F.col("h.node").alias("hub"), F.col("h.root").alias("hub_root"))
-    return _pairs_with(buckets, hub)
+    """Pairs (a, b) of every node of a bucket with its two hubs; buckets: (key, node, n)."""
+    weight = buckets.groupBy("node").agg(F.sum("n").alias("w"))
+    other = F.struct(F.xxhash64("key", "node").alias("h"), "node")
+    hubs = buckets.join(weight, "node").groupBy("key").agg(F.max(F.struct("w", "node")).alias("x"), F.max(other).alias("y"))
+    hubs = hubs.select("key", F.explode(F.array_distinct(F.array("x.node", "y.node"))).alias("hub"))
+    return buckets.join(hubs, "key").where("node != hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _other_hub_pairs(buckets: DataFrame) -> DataFrame:
-    """The same with a hub that is another one in every bucket."""
-    hub = buckets.groupBy("key").agg(F.max(F.struct(F.xxhash64("key", "node").alias("h"), "node", "root")).alias("h")).select("key", F.col("h.node").alias("hub"), F.col("h.root").alias("hub_root"))
-    return _pairs_with(buckets, hub)
+_OPEN = "key long, low int, high int, node long, root long, block int, band int, major long, bands array<long>, planes array<long>"
+_GROUP = ["key", "low", "high"]
 
 
-def _pairs_with(buckets: DataFrame, hub: DataFrame) -> DataFrame:
-    return buckets.join(hub, "key").where("root != hub_root").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+def _open_rows(classed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows (_OPEN) of the nodes of buckets (key, node, band, size, root) that hold several classes, once for each pair of blocks.
 
+    Two nodes that are a whole bucket were node and hub. major is the class with most of a bucket's nodes.
+    """
+    per_class = classed.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    several = per_class.groupBy("key").agg(F.count("*").alias("classes"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "root")).alias("most")).where("classes > 1 and n > 2")
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES, F.lit(1.0))).cast("int")
+    rows = classed.join(several.select("key", blocks.alias("blocks"), F.col("most.root").alias("major")), "key")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"low": F.least("block", "met"), "high": F.greatest("block", "met")})
+    return rows.join(nodes.select("node", "bands", "planes"), "node").select(*[c.split()[0] for c in _OPEN.split(", ")])
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+
+
+class _Open:
+    """The nodes of one group of _OPEN rows as arrays."""
+
+    def __init__(self, group: pa.Table):
+        self.node, self.root, self.block, major, band, low, high = (group[k].to_numpy() for k in ("node", "root", "block", "major", "band", "low", "high"))
+        self.bands, self.planes = (group[k].combine_chunks().flatten().to_numpy().view(U64).reshape(len(group), -1) for k in ("bands", "planes"))
+        self.minor = np.flatnonzero(self.root != major)
+        self.is_minor = self.root != major
+        self.band, self.across = int(band[0]), low[0] != high[0]
+
+    def candidates(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Pairs of positions in different classes whose short signatures differ in at most `most` slots, with that number."""
+        n, width = len(self.node), SLOTS // 64
+        step = max(1, PAIRS // n)
+        for start in range(0, len(self.minor), step):
+            i = self.minor[start : start + step]
+            # One of two is in a minor class; where both are, the pair is met once.
+            fits = (self.root[i][:, None] != self.root[None, :]) & (~self.is_minor[None, :] | (i[:, None] < np.arange(n)[None, :]))
+            if self.across:
+                fits &= self.block[i][:, None] != self.block[None, :]
+            x, j = np.nonzero(fits)
+            i = i[x]
+            parts = [self.planes[i, k * width : (k + 1) * width] ^ self.planes[j, k * width : (k + 1) * width] for k in range(4)]
+            differ = np.bitwise_count(parts[0] | parts[1] | parts[2] | parts[3]).sum(axis=1)
+            near = np.flatnonzero(differ <= most)
+            i, j, differ = i[near], j[near], differ[near]
+            # Of the bands that both share, one that their names settle.
+            low, high = np.minimum(self.node[i], self.node[j]).view(U64), np.maximum(self.node[i], self.node[j]).view(U64)
+            turn = common.mix((low * U64(3) + high)[:, None] + np.arange(self.bands.shape[1], dtype=U64)[None, :] * _GOLDEN) >> U64(1)
+            turn = np.where(self.bands[i] == self.bands[j], turn, ~U64(0))
+            here = turn.argmin(axis=1) == self.band if len(i) else np.zeros(0, bool)
+            yield i[here], j[here], differ[here]
+
+
+def _with_partners(most: int):
+    """Rows of nodes that have a candidate in their group."""
 
-def _inner_pairs(classed: DataFrame, known: DataFrame, least: float) -> DataFrame:
-    """Pairs of nodes of a bucket (key, node, band, root, n) that are in different classes and whose short signatures are near; the others are never rows.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in common.groups(batches, _GROUP):
+            marked = np.zeros(len(group), bool)
+            for i, j, _ in _Open(group).candidates(most):
+                marked[i] = marked[j] = True
+            if marked.any():
+                yield from group.filter(pa.array(marked)).to_batches()
 
-    A bucket's nodes fall into blocks, and every block meets every block. A pair
-    comes from the first band that both share, not from every one.
-    """
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    both = classed.select("key", "node", "band", "root", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block")).join(known.select("node", "planes", "bands"), "node")
-    met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("met")
-    x, y = (both.select(F.col("key").alias(f"key_{k}"), F.col("node").alias(k), F.col("root").alias(f"root_{k}"), F.col("planes").alias(f"planes_{k}"), F.col("bands").alias(f"bands_{k}"), F.col("band").alias(f"band_{k}"), F.col("block").alias(f"block_{k}"), met.alias(f"met_{k}")) for k in ("a", "b"))
-    near = (F.col("key_a") == F.col("key_b")) & (F.col("block_a") == F.col("met_b")) & (F.col("met_a") == F.col("block_b")) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _near("planes_a", "planes_b", least)
-    earlier = [(F.lit(i) < F.col("band_a")) & (F.get("bands_a", F.lit(i)) == F.get("bands_b", F.lit(i))) for i in range(BANDED // ROWS - 1)]
-    return x.join(y, near & ~reduce(Column.__or__, earlier)).select("a", "b")
+    return run
 
 
-def _split(large: DataFrame, bands: DataFrame, further: int = 3) -> DataFrame:
-    """Buckets (key, node, band) of nodes of large buckets that agree in one of the next few bands as well.
+def _class_links(least: float, most: int):
+    """Links (a, b) between classes, from groups of _OPEN rows with texts."""
 
-    A pair of similarity 0.8 agrees in a band with probability 0.41, so it shares
-    some 13 of 32 bands, and with three more to each of them it is all but
-    certain that one pair of neighbouring bands is shared.
-    """
-    n = F.size("bands")
-    more = F.explode(F.transform(F.sequence(F.lit(1), F.lit(further)), lambda d: F.struct(F.pmod(F.col("band") + d, n).cast("int").alias("at"), F.get(F.col("bands"), F.pmod(F.col("band") + d, n).cast("int")).alias("key"))))
-    rows = large.join(bands, "node").select("key", "node", "root", more.alias("m")).select(F.xxhash64("key", "m.key").alias("key"), "node", F.col("m.at").alias("band"), "root")
-    several = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
-    return rows.join(several, "key").select("key", "node", "band").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in common.groups(batches, _GROUP):
+            made = _Open(group)
+            shingled = _weighted(common.Texts(group["text"]))
+            over: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while x in over:
+                    x = over[x]
+                return x
+
+            found: list[tuple[int, int]] = []
+            for i, j, differ in made.candidates(most):
+                for k in np.argsort(differ, kind="stable").tolist():
+                    p, q = int(i[k]), int(j[k])
+                    a, b = top(int(made.root[p])), top(int(made.root[q]))
+                    if a != b and probability_jaccard(shingled[p], shingled[q]) >= least - 1e-12:
+                        found.append((int(made.root[p]), int(made.root[q])))
+                        over[max(a, b)] = min(a, b)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,56 +306,37 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     signed = common.materialize(keyed.mapInArrow(_sign, _SIGNED), "signatures")
     solid = signed.where("not blank")
 
-    # Band keys with more than one node; copies of a document are one node and fall together here.
-    rows = solid.select(F.posexplode("bands").alias("band", "key"), "node")
-    shared = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("key")
-    buckets = common.materialize(rows.join(shared, "key").distinct(), "buckets")
-
-    nodes = buckets.select("node").distinct()
+    # Copies of a document are one node; whatever stands beside a node's name is the same in all of them, or any one.
     row = F.struct("__id", "__rk")
-    known = solid.groupBy("node").agg(F.min(row).alias("r"), F.min("bands").alias("bands"), F.min("planes").alias("planes"))
-    known = common.materialize(known.join(nodes, "node", "left_semi").select("node", "r.*", "bands", "planes"), "nodes")
-    wanted = common.key_filter(known, "__rk")
-    texts = common.materialize(common.filtered_texts(keyed, wanted, ["__id", "__rk", "text"]).join(known.select("__id", "__rk", "node"), ["__id", "__rk"]).dropDuplicates(["node"]).select("node", "text"), "node-texts")
-    planes = known.select("node", "planes")
-
-    def near_only(pairs: DataFrame) -> DataFrame:
-        a = planes.select(F.col("node").alias("a"), F.col("planes").alias("planes_a"))
-        b = planes.select(F.col("node").alias("b"), F.col("planes").alias("planes_b"))
-        return pairs.join(a, "a").join(b, "b").where(_near("planes_a", "planes_b", least)).select("a", "b")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        ta = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        tb = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        return common.materialize(pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify(least), "a long, b long, similarity double"), "links")
-
-    tested = common.materialize(_hub_pairs(buckets.withColumn("root", F.col("node"))), "hub-pairs")
-    links = linked(near_only(tested))
+    nodes = common.materialize(solid.groupBy("node").agg(F.min(row).alias("r"), F.min("size").alias("size"), F.min("bands").alias("bands"), F.min("planes").alias("planes")).select("node", "r.*", "size", "bands", "planes"), "nodes")
+    rows = nodes.select(F.posexplode("bands").alias("band", "key"), "node", "size")
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = common.materialize(rows.join(shared, "key"), "buckets")
+
+    met = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "__id", "__rk")
+    wanted = common.key_filter(met, "__rk")
+    texts = common.filtered_texts(keyed, wanted, ["__id", "__rk", "text"]).join(met, ["__id", "__rk"]).dropDuplicates(["node"])
+    texts = common.materialize(texts.select("node", "text"), "node-texts")
+
+    def sides(pairs: DataFrame, table: DataFrame, name: str) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = pairs.join(table.select(F.col("node").alias(side), F.col(name).alias(f"{name}_{side}")), side)
+        return pairs
+
+    near = sides(_hub_pairs(buckets), nodes, "planes").where(_near("planes_a", "planes_b", least)).select("a", "b")
+    links = sides(common.materialize(near, "hub-pairs"), texts, "text").select("a", "b", "text_a", "text_b")
+    links = common.materialize(links.mapInArrow(_verify(least), "a long, b long, similarity double"), "links")
     roots = common.components(links)
 
-    def try_pairs(pairs: DataFrame, filtered: bool = False) -> None:
-        nonlocal tested, links, roots
-        pairs = common.materialize(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs", small=True)
-        found = linked(pairs if filtered else near_only(pairs))
-        tested = tested.unionByName(pairs)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            roots = common.components(links)
-
-    def still_open(rows: DataFrame, tried: int = 0) -> DataFrame:
-        """Buckets (key, node, band, root, n) of more than `tried` nodes that hold several classes."""
-        classed = rows.select("key", "node", "band").join(roots, "node", "left").select("key", "node", "band", F.coalesce("root", "node").alias("root"))
-        keys = classed.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where(f"lo != hi and n > {tried}").select("key", "n")
-        return classed.join(keys, "key")
-
-    # What the first hubs leave open (two nodes of a whole bucket were node and hub): large buckets are split by one more band and get other hubs.
-    level = common.materialize(still_open(buckets, tried=2), "open-buckets", small=True)
-    finer = common.materialize(_split(level.where(F.col("n") > SMALL), known.select("node", "bands")), "split-buckets", small=True)
-    try_pairs(_other_hub_pairs(still_open(finer)))
-    # Now classes are nearly whole, and few near pairs lie between them. A split bucket's pairs are pairs of the whole one, too.
-    try_pairs(_inner_pairs(still_open(level, tried=2), known, least), filtered=True)
+    classed = buckets.join(roots, "node", "left").select("key", "node", "band", "size", F.coalesce("root", "node").alias("root"))
+    opened = _dealt(_open_rows(classed, nodes)).mapInArrow(_with_partners(far(least)), _OPEN)
+    opened = _dealt(opened.join(texts, "node").select(*opened.columns, "text"))
+    more, seen = common.observed(opened.mapInArrow(_class_links(least, far(least)), "a long, b long"), "class-links", {"n": F.count(F.lit(1))}, small=True)
 
     classed = solid.select("__id", "__rk", "doc_id", "node").join(roots, "node", "left").select("__id", "__rk", "doc_id", F.coalesce("root", "node").alias("root"))
+    if seen["n"]:
+        joined = common.components(more).select(F.col("node").alias("root"), F.col("root").alias("joined"))
+        classed = classed.join(joined, "root", "left").select("__id", "__rk", "doc_id", F.coalesce("joined", "root").alias("root"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__rk")
     sums = classed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.min(order).alias("first"))
     out = classed.join(sums, "root").select("__id", "__rk", "doc_id", "class_id", "class_size", (order == F.col("first")).alias("keep"))
@@ -300,15 +345,17 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
 
 
 def keep_one(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without all but one row of each class of near duplicates; columns as they were."""
-    found = near_duplicates(docs, least, id_col, text_col)
-    gone = found.where("not keep").select("__id", "__rk").distinct()
-    rest = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(-1)), "__rk": F.xxhash64(F.col(id_col), F.col(text_col))})
-    kept = rest.join(gone, ["__id", "__rk"], "left_anti")
+    """docs without all but one row of each class of near duplicates; columns as they were, whatever their names."""
+    names = dict(zip(docs.columns, inner := [f"c{k}" for k in range(len(docs.columns))]))
+    rows = docs.toDF(*inner)
+    found = near_duplicates(rows, least, names[id_col], names[text_col])
     # Rows that repeat id and text are one row of the class.
-    again = found.where("class_size > 1").groupBy("__id", "__rk").agg(F.count("*").alias("n")).where("n > 1").select("__id", "__rk")
-    if not again.isEmpty():
-        # equal rows: any one of them
-        twice = kept.join(again, ["__id", "__rk"], "left_semi").dropDuplicates(["__id", "__rk"])
-        kept = kept.join(again, ["__id", "__rk"], "left_anti").unionByName(twice)
-    return kept.drop("__id", "__rk")
+    marks = found.groupBy("__id", "__rk").agg(F.max("keep").alias("keep"), F.max("class_size").alias("size"), F.count("*").alias("n"))
+    marks, seen = common.observed(marks.where("not keep or (n > 1 and size > 1)"), "marks", {"most": F.max(F.when(F.col("keep"), F.col("n")))}, small=True)
+    rest = rows.withColumns({"__id": F.coalesce(F.col(names[id_col]).cast("long"), F.lit(-1)), "__rk": F.xxhash64(names[id_col], names[text_col])})
+    key = ["__id", "__rk"]
+    kept = rest.join(marks.where("not keep").select(*key), key, "left_anti")
+    if seen["most"]:  # equal rows: any one of them
+        again = marks.where("keep").select(*key)
+        kept = kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates(key))
+    return kept.select(*inner).toDF(*docs.columns)

@@ -230,8 +230,7 @@ def family(n, own=2, single=12, shared=100):
 
 
 def test_near_duplicates_in_a_family_of_many_open_nodes(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "SMALL", 4)
-    monkeypatch.setattr(minhash, "BLOCK", 50, raising=False)  # several blocks in a bucket
+    monkeypatch.setattr(minhash, "BLOCK", 50)  # several blocks in a bucket
     rows = family(160)
     sets = [shingle_counts(t) for _, t in rows[:4]]
     assert jaccard(sets[0], sets[1]) >= 0.8 > jaccard(sets[0], sets[2])
