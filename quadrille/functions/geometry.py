@@ -16,6 +16,7 @@ import numpy as np
 
 # WKB type codes.
 WKB_CODES = {"Point": 1, "LineString": 2, "Polygon": 3, "MultiPoint": 4, "MultiLineString": 5, "MultiPolygon": 6, "GeometryCollection": 7}
+HAS_Z, HAS_M, HAS_SRID = 0x80000000, 0x40000000, 0x20000000
 _NAMES = {v: k for k, v in WKB_CODES.items()}
 
 
@@ -87,21 +88,32 @@ def to_wkb(geometry: dict) -> bytes:
 
 
 def from_wkb(data: bytes) -> dict:
+    """The geometry in two dimensions; heights, measures (ISO codes or flags) and a reference system's number are skipped."""
+    try:
+        return _read_wkb(data)
+    except (struct.error, KeyError, IndexError) as e:
+        raise BadGeometry(f"not WKB: {data[:16].hex()}") from e
+
+
+def _read_wkb(data: bytes) -> dict:
     def read(at: int) -> tuple[dict, int]:
         order = "<" if data[at] == 1 else ">"
         (code,) = struct.unpack_from(order + "I", data, at + 1)
-        kind, at = _NAMES[code & 0xFF], at + 5
+        at += 9 if code & HAS_SRID else 5
+        plain = code & 0x0FFFFFFF
+        kind = _NAMES[plain % 1000]
+        size = 2 + {0: 0, 1: 1, 2: 1, 3: 2}[plain // 1000] + bool(code & HAS_Z) + bool(code & HAS_M)
 
         def count(at: int) -> tuple[int, int]:
             return struct.unpack_from(order + "I", data, at)[0], at + 4
 
         def run(at: int) -> tuple[list, int]:
             n, at = count(at)
-            flat = struct.unpack_from(f"{order}{2 * n}d", data, at)
-            return [list(p) for p in zip(flat[::2], flat[1::2])], at + 16 * n
+            flat = struct.unpack_from(f"{order}{size * n}d", data, at)
+            return [list(p) for p in zip(flat[::size], flat[1::size])], at + 8 * size * n
 
         if kind == "Point":
-            return {"type": kind, "coordinates": list(struct.unpack_from(order + "dd", data, at))}, at + 16
+            return {"type": kind, "coordinates": list(struct.unpack_from(order + "dd", data, at))}, at + 8 * size
         if kind == "LineString":
             points, at = run(at)
             return {"type": kind, "coordinates": points}, at
@@ -161,6 +173,51 @@ def box(xmin: float, ymin: float, xmax: float, ymax: float) -> dict:
     return {"type": "Polygon", "coordinates": [[[xmin, ymin], [xmax, ymin], [xmax, ymax], [xmin, ymax], [xmin, ymin]]]}
 
 
+_BOX_BYTES = 93  # a polygon of one ring of five points
+_BOX_HEAD = struct.pack("<BIII", 1, WKB_CODES["Polygon"], 1, 5)
+
+
+def boxes_to_wkb(x0, y0, x1, y1) -> list[bytes]:
+    """The WKB of box(x0, y0, x1, y1) for arrays of corners."""
+    corners = np.stack([x0, y0, x1, y0, x1, y1, x0, y1, x0, y0], axis=1).astype("<f8")
+    rows = np.empty((len(corners), _BOX_BYTES), np.uint8)
+    rows[:, :13] = np.frombuffer(_BOX_HEAD, np.uint8)
+    rows[:, 13:] = corners.view(np.uint8).reshape(len(corners), 80)
+    data = rows.tobytes()
+    return [data[i : i + _BOX_BYTES] for i in range(0, len(data), _BOX_BYTES)]
+
+
+def boxes_of(wkb) -> np.ndarray:
+    """Which of a sequence of WKB values (or None) are rectangles along the axes, decoded as one array."""
+    values = list(wkb)
+    sized = np.array([d is not None and len(d) == _BOX_BYTES for d in values], bool)
+    if not sized.any():
+        return sized
+    rows = np.frombuffer(b"".join(bytes(d) for d, s in zip(values, sized) if s), np.uint8).reshape(-1, _BOX_BYTES)
+    right = (rows[:, :13] == np.frombuffer(_BOX_HEAD, np.uint8)).all(axis=1)
+    p = np.ascontiguousarray(rows[:, 13:]).view("<f8").reshape(-1, 5, 2)
+    closed = (p[:, 0] == p[:, 4]).all(axis=1)
+    x, y = p[:, :, 0], p[:, :, 1]
+    one = (x[:, 1] == x[:, 2]) & (x[:, 3] == x[:, 0]) & (y[:, 0] == y[:, 1]) & (y[:, 2] == y[:, 3])
+    two = (x[:, 0] == x[:, 1]) & (x[:, 2] == x[:, 3]) & (y[:, 1] == y[:, 2]) & (y[:, 3] == y[:, 0])
+    sized[sized] = right & closed & (one | two)
+    return sized
+
+
+def is_box(geometry: dict) -> bool:
+    return bool(boxes_of([to_wkb(geometry)])[0])
+
+
+def wkb_intersects(data: bytes | None, other: dict) -> bool:
+    """intersects of a WKB value; a missing or broken one meets nothing."""
+    if data is None:
+        return False
+    try:
+        return intersects(from_wkb(bytes(data)), other)
+    except BadGeometry:
+        return False
+
+
 def as_geometry(value: dict | str | bytes | tuple) -> dict:
     """A geometry from GeoJSON (dict or text), WKT, WKB or (xmin, ymin, xmax, ymax)."""
     if isinstance(value, (bytes, bytearray)):

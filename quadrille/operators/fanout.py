@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,11 +86,15 @@ def histogram(rows: DataFrame) -> DataFrame:
     return per_item.groupBy("fan_out").agg(F.count("*").alias("items"))
 
 
-def ordered(rows: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Rows dealt to (cell, year) and sorted by platform and time, those without first."""
-    keys = ["grid_partition", "year"]
-    dealt = rows.repartition(partitions, *keys) if partitions else rows.repartition(*keys)
-    return dealt.sortWithinPartitions(*keys, F.coalesce("platform", F.lit("")), F.col("datetime").asc_nulls_first())
+def ordered(rows: DataFrame, missing_last: bool = False) -> DataFrame:
+    """Rows dealt to (cell, year) and sorted there by platform and time, those without first (or last).
+
+    The deal is a rebalance: Spark splits a bucket that is much larger than the
+    others over several tasks, and gives small buckets to one task.
+    """
+    keys = [F.col("grid_partition"), F.col("year")]
+    within = [F.col("platform").asc_nulls_last(), F.col("datetime").asc_nulls_last()] if missing_last else [F.coalesce("platform", F.lit("")), F.col("datetime").asc_nulls_first()]
+    return rows.hint("rebalance", *keys).sortWithinPartitions(*keys, *within)
 
 
 def footprint_filter(rows: DataFrame, geometry: dict) -> DataFrame:
@@ -101,7 +106,10 @@ def footprint_filter(rows: DataFrame, geometry: dict) -> DataFrame:
     @F.pandas_udf("boolean")
     def meets(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         target = json.loads(text)
+        boxed = geo.is_box(target)
         for wkb in parts:
-            yield wkb.map(lambda d: d is not None and geo.intersects(geo.from_wkb(bytes(d)), target)).astype(bool)
+            # Two rectangles whose bounds meet do meet; other shapes are tested one by one.
+            settled = geo.boxes_of(wkb) if boxed else np.zeros(len(wkb), bool)
+            yield pd.Series([s or geo.wkb_intersects(d, target) for s, d in zip(settled, wkb)], dtype=bool)
 
     return near.where(meets("geometry"))

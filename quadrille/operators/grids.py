@@ -13,6 +13,7 @@ import math
 from abc import ABC, abstractmethod
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,15 +110,20 @@ class RegionGrid(Grid):
     def __init__(self, regions: dict[str, dict], boundaries_path: str | None = None, id_field: str = "id", most_bytes: int = 64 << 20):
         self.regions = regions
         self.boundaries_path, self.id_field = boundaries_path, id_field
-        size = sum(len(json.dumps(g)) for g in regions.values())
-        if size > most_bytes:
-            raise ValueError(f"regions take {size} bytes, over {most_bytes}; join them with operators.joins.region_join")
+        self.check_size(sum(len(json.dumps(g)) for g in regions.values()), most_bytes)
         self.boxes = {k: geo.bounds(g) for k, g in regions.items()}
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, id_field: str = "id") -> RegionGrid:
-        rows = read_regions(spark, path, id_field).collect()  # checked by the constructor
-        return cls({r.key: geo.from_geojson(r.geometry) for r in rows}, path, id_field)
+        rows = read_regions(spark, path, id_field)
+        size = rows.agg(F.coalesce(F.sum(F.length("geometry")), F.lit(0))).first()[0]
+        cls.check_size(size)
+        return cls({r.key: geo.from_geojson(r.geometry) for r in rows.collect()}, path, id_field)
+
+    @staticmethod
+    def check_size(size: int, most: int = 64 << 20) -> None:
+        if size > most:
+            raise ValueError(f"regions take {size} bytes, over {most}; join them with operators.joins.region_join")
 
     def cells(self, df: DataFrame) -> Column:
         shared = df.sparkSession.sparkContext.broadcast((self.regions, self.boxes))
@@ -125,16 +131,23 @@ class RegionGrid(Grid):
         @F.pandas_udf("array<string>")
         def touching(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
             regions, boxes = shared.value
+            names = sorted(boxes)
+            bounds = np.array([boxes[k] for k in names], float).reshape(-1, 4)
+            plain = np.array([geo.is_box(regions[k]) for k in names], bool)
             for wkb in parts:
+                boxed = geo.boxes_of(wkb)
                 out = []
-                for data in wkb:
-                    if data is None:
+                for data, simple in zip(wkb, boxed):
+                    try:
+                        g = None if data is None else geo.from_wkb(bytes(data))
+                    except geo.BadGeometry:
+                        g = None
+                    if g is None:
                         out.append(None)
                         continue
-                    g = geo.from_wkb(bytes(data))
                     x0, y0, x1, y1 = geo.bounds(g)
-                    near = [k for k, b in boxes.items() if b[0] <= x1 and b[2] >= x0 and b[1] <= y1 and b[3] >= y0]
-                    out.append(sorted(k for k in near if geo.intersects(g, regions[k])))
+                    near = np.flatnonzero((bounds[:, 0] <= x1) & (bounds[:, 2] >= x0) & (bounds[:, 1] <= y1) & (bounds[:, 3] >= y0))
+                    out.append([names[k] for k in near if simple and plain[k] or geo.intersects(g, regions[names[k]])])
                 yield pd.Series(out)
 
         return touching(F.col("geometry"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,8 +76,18 @@ def region_join(items: DataFrame, regions: DataFrame, cell_degrees: float = 10.0
 
     @F.pandas_udf("boolean")
     def meets(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        regions: dict[bytes, dict] = {}  # the regions of a task, each read once
         for a, b in parts:
-            yield pd.Series([geo.intersects(geo.from_wkb(bytes(x)), geo.from_wkb(bytes(y))) for x, y in zip(a, b)], dtype=bool)
+            settled = geo.boxes_of(a) & geo.boxes_of(b)  # bounds have met already
+            out = settled.tolist()
+            for k in np.flatnonzero(~settled).tolist():
+                key = bytes(b.iloc[k])
+                if key not in regions:
+                    if len(regions) >= 1000:
+                        regions.clear()
+                    regions[key] = geo.from_wkb(key)
+                out[k] = geo.wkb_intersects(a.iloc[k], regions[key])
+            yield pd.Series(out, dtype=bool)
 
     return near.where(meets("geometry", "r_wkb")).drop("__t", "r_wkb", "r_xmin", "r_ymin", "r_xmax", "r_ymax")
 
@@ -87,6 +98,6 @@ def _region_shapes(value: pd.Series) -> pd.DataFrame:
         try:
             g = geo.from_geojson(text)
             rows.append((geo.to_wkb(g), *geo.bounds(g)))
-        except (ValueError, TypeError, KeyError):
+        except (ValueError, TypeError, KeyError, IndexError):
             rows.append((None, None, None, None, None))
     return pd.DataFrame(rows, columns=["wkb", "xmin", "ymin", "xmax", "ymax"])

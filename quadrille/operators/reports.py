@@ -97,8 +97,8 @@ def contiguous_prefix(numbers: DataFrame, n: str, start: int = 0) -> DataFrame:
 
 
 def next_part(files: DataFrame) -> DataFrame:
-    """The next number for `part_<n>` files of each bucket."""
-    number = F.regexp_extract("path", r"part_(\d+)", 1).try_cast("int")
+    """The next number for `part_<n>` files of each bucket; the digits must be the whole number."""
+    number = F.regexp_extract("path", r"part_(\d+)(?:[_.]|$)", 1).try_cast("int")
     return files.groupBy("grid_partition", "year").agg((F.coalesce(F.max(number), F.lit(-1)) + 1).alias("next_part"))
 
 
@@ -138,6 +138,18 @@ def bucket_report(buckets: DataFrame, results: DataFrame) -> DataFrame:
     return buckets.select("grid_partition", "year").distinct().join(results, ["grid_partition", "year"], "left").na.fill(0, values)
 
 
+def rollup_by_year(results: DataFrame) -> DataFrame:
+    """(year, buckets, unique, duplicates, duplicate_pct) from rows (grid_partition, year, input_rows, output_rows) of compactions."""
+    found = results.groupBy("year").agg(F.count("*").alias("buckets"), F.sum("output_rows").alias("unique"), F.sum(F.col("input_rows") - F.col("output_rows")).alias("duplicates"))
+    return found.withColumn("duplicate_pct", percent(F.col("duplicates"), F.col("unique") + F.col("duplicates")))
+
+
+def rollup_by_cell(results: DataFrame, n: int) -> DataFrame:
+    """(grid_partition, years, unique, duplicate_pct) of the n cells with most rows after compaction."""
+    found = results.groupBy("grid_partition").agg(F.count("*").alias("years"), F.sum("output_rows").alias("unique"), F.sum("input_rows").alias("rows"))
+    return found.select("grid_partition", "years", "unique", percent(F.col("rows") - F.col("unique"), F.col("rows")).alias("duplicate_pct")).orderBy(F.desc("unique"), "grid_partition").limit(n)
+
+
 def compare_sources(a: DataFrame, b: DataFrame, id_col: str = "id", samples: int = 10) -> dict[str, DataFrame]:
     """Two lists of ids against each other: counts, samples of what only one has, lengths and prefixes of those."""
     only_a, only_b = (joins.missing_from(x.select(id_col).distinct(), y, id_col) for x, y in ((a, b), (b, a)))

@@ -7,8 +7,10 @@ root/
   meta/snapshots/<n>.json                            what snapshot n is; the largest n is current
 
 A commit writes its manifest, then creates snapshots/<n>.json, which fails if
-another writer was first. Files are only removed by maintenance, after a
-commit that no longer lists them.
+another writer was first; `change` then reads the newer manifest and tries
+again, so no commit is lost. Data files are written straight into the data
+folder and count from the commit that lists them. They are only removed by
+maintenance, when no snapshot that a reader may still use lists them.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import os
 import socket
 import time
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +30,8 @@ from pyspark.sql import types as T
 from ..operators.grids import Grid, make_grid
 from ..schema import BOUNDS, STORED
 from ..sources import files as io
-
-FILES = "path string, grid_partition string, year string, rows long, bytes long, min_datetime timestamp, max_datetime timestamp"
+from . import geoparquet
+from .geoparquet import FILES
 
 
 class CatalogLocked(RuntimeError):
@@ -76,10 +79,10 @@ class Catalog:
 
     def files(self, snapshot: int | None = None) -> DataFrame:
         """The manifest of a snapshot (default: the current one)."""
-        now = self.current() if snapshot is None else next(s for s in self.snapshots() if s["id"] == snapshot)
-        if now is None:
-            return self.spark.createDataFrame([], FILES)
-        return self.spark.read.schema(FILES).parquet(now["manifest"])
+        return self._listed(self.current() if snapshot is None else next(s for s in self.snapshots() if s["id"] == snapshot))
+
+    def _listed(self, snapshot: dict | None) -> DataFrame:
+        return self.spark.read.schema(FILES).parquet(snapshot["manifest"]) if snapshot else self.spark.createDataFrame([], FILES)
 
     def commit(self, files: DataFrame, action: str, based_on: int | None = None) -> int:
         """Make a manifest the current one."""
@@ -96,66 +99,78 @@ class Catalog:
             raise Conflict(f"snapshot {n} is there already")
         return n
 
+    def change(self, make: Callable[[DataFrame], DataFrame], action: str, attempts: int = 20) -> int:
+        """Commit what `make` makes of the current manifest; again from the newer one if another commit came first."""
+        for attempt in range(attempts):
+            now = self.current()
+            try:
+                return self.commit(make(self._listed(now)), action, now["id"] if now else 0)
+            except Conflict:
+                if attempt + 1 == attempts:
+                    raise
+        raise Conflict("no attempt was allowed")
+
+    def committed(self, action: str) -> bool:
+        """Whether a snapshot with this action is there: what makes a batch or chunk of that name run once."""
+        return any(s["action"] == action for s in self.snapshots())
+
     # -- writing
 
     def describe_files(self, paths: DataFrame | None = None) -> DataFrame:
-        """Manifest rows of the data files that lie in the folder (or of paths: (path)), from one pruned scan."""
-        rows = self.spark.read.schema("datetime timestamp").parquet(self.data) if io.exists(self.spark, self.data) else None
-        if rows is None:
-            return self.spark.createDataFrame([], FILES)
-        path = F.url_decode(F.col("_metadata.file_path"))
-        found = rows.select(path.alias("path"), F.col("_metadata.file_size").alias("bytes"), "datetime")
+        """Manifest rows of all data files that lie in the folder, or of some (path): those alone are read."""
         if paths is not None:
-            found = found.join(paths.select("path").distinct(), "path", "left_semi")
+            listed = [r.path for r in paths.select("path").distinct().collect()]  # the new files only
+            return self._described(self.spark.read.schema("datetime timestamp").option("basePath", self.data).parquet(*listed)) if listed else self.spark.createDataFrame([], FILES)
+        if not io.exists(self.spark, self.data):
+            return self.spark.createDataFrame([], FILES)
+        return self._described(self.spark.read.schema("datetime timestamp").parquet(self.data))
+
+    def _described(self, rows: DataFrame) -> DataFrame:
+        found = rows.select(F.url_decode(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_size").alias("bytes"), "datetime")
         summed = found.groupBy("path").agg(F.count("*").alias("rows"), F.max("bytes").alias("bytes"), F.min("datetime").alias("min_datetime"), F.max("datetime").alias("max_datetime"))
         return summed.select("path", F.regexp_extract("path", "/grid_partition=([^/]*)/", 1).alias("grid_partition"), F.regexp_extract("path", "/year=([^/]*)/", 1).alias("year"), "rows", "bytes", "min_datetime", "max_datetime")
 
-    def write_rows(self, rows: DataFrame, rows_per_file: int = 1_000_000, codec: str = "zstd") -> DataFrame:
-        """Write fanned-out rows to new files and return their manifest rows; nothing is committed yet."""
-        from ..operators.fanout import ordered
-
-        names = [*STORED.fieldNames(), *[b for b in BOUNDS if b in rows.columns], "year"]
-        batch = uuid.uuid4().hex[:12]
-        staging = f"{self.root}/staging/{batch}"
-        out = ordered(rows).select(*[F.col(f"`{n}`") for n in names])
-        out.write.option("compression", codec).option("maxRecordsPerFile", rows_per_file).partitionBy("grid_partition", "year").parquet(staging)
-        return self._move_in(staging, "part")
-
-    def _move_in(self, staging: str, kind: str) -> DataFrame:
-        """Move staged files into the data folder under new names: a rename for each file, no bytes are copied."""
-        made = self._stats(staging).collect()  # one row for each new file
-        rows = []
-        for r in made:
-            cell, year = r.path.split("/grid_partition=", 1)[1].split("/year=")
-            year, _, _ = year.partition("/")
-            target = f"{self.data}/grid_partition={cell}/year={year}/{kind}_{uuid.uuid4().hex[:12]}.parquet"
-            io.rename(self.spark, r.path, target)
-            fs, where = io.hadoop(self.spark, target)
-            rows.append((fs.makeQualified(where).toString(), cell, year, r.rows, r.bytes, r.min_datetime, r.max_datetime))
-        io.remove(self.spark, staging)
-        return self.spark.createDataFrame(rows, FILES)
-
-    def _stats(self, folder: str) -> DataFrame:
-        rows = self.spark.read.schema("datetime timestamp").parquet(folder)
-        path = F.url_decode(F.col("_metadata.file_path"))
-        return rows.groupBy(path.alias("path")).agg(F.count("*").alias("rows"), F.max(F.col("_metadata.file_size")).alias("bytes"), F.min("datetime").alias("min_datetime"), F.max("datetime").alias("max_datetime"))
-
-    def append(self, rows: DataFrame, **options) -> int:
+    def write_rows(self, rows: DataFrame, write: Callable[..., DataFrame] = geoparquet.write_files, **options) -> DataFrame:
+        """Write fanned-out rows to new files and return their manifest rows; nothing is committed yet.
+
+        `write` may be any function like geoparquet.write_files (rows, data folder, listing folder, options).
+        """
+        now = self.current()
+        listing = f"{self.meta}/written/{uuid.uuid4().hex[:12]}"
+        return write(rows, self.data, listing, number=(now["id"] if now else 0) + 1, **options)
+
+    def append(self, rows: DataFrame, action: str = "append", **options) -> int:
         added = self.write_rows(rows, **options)
-        return self.commit(self.files().unionByName(added), "append")
+        return self.change(lambda files: files.unionByName(added), action)
+
+    def replace_files(self, gone: DataFrame, added: DataFrame, action: str) -> int:
+        """Put new files in the place of some, all of which must still be listed (else Conflict)."""
+        n = gone.count()
+
+        def replaced(files: DataFrame) -> DataFrame:
+            if files.join(gone.select("path"), "path", "left_semi").count() != n:
+                raise RuntimeError("files that were to be replaced are no longer listed; nothing is changed")
+            return files.join(gone.select("path"), "path", "left_anti").unionByName(added)
 
-    def replace_files(self, gone: DataFrame, added: DataFrame, action: str, based_on: int | None = None) -> int:
-        kept = self.files().join(gone.select("path"), "path", "left_anti")
-        return self.commit(kept.unionByName(added), action, based_on)
+        return self.change(replaced, action)
 
     def register(self, action: str = "register") -> int:
         """Make the files that lie in the folder the current manifest (a rebuild)."""
         return self.commit(self.describe_files(), action)
 
-    def register_new(self, paths: DataFrame) -> int:
-        """Add files (path) that lie in the folder and are not in the manifest."""
-        new = paths.select("path").distinct().join(self.files().select("path"), "path", "left_anti")
-        return self.commit(self.files().unionByName(self.describe_files(new)), "register-delta")
+    def register_new(self, paths: DataFrame, index: str | None = None) -> int:
+        """Add files (path) that lie in the folder and are not in the manifest; with `index`, their ids enter that hash index as well."""
+
+        def added(files: DataFrame) -> DataFrame:
+            new = paths.select("path").distinct().join(files.select("path"), "path", "left_anti")
+            return files.unionByName(self.describe_files(new))
+
+        made = self.change(added, "register-delta")
+        if index is not None:
+            from ..operators import hashindex
+
+            hashindex.merge_index(self.spark, index, self.read(paths).select("id"))
+        return made
 
     # -- reading
 

@@ -1,8 +1,11 @@
-"""Files with a `geo` footer key: a writer that streams sorted rows, one open file in each task.
+"""The writer of data files: sorted rows, one open file in each task, with footer keys that describe the geometry.
 
-Spark's own writer cannot set footer keys, so this one goes through Arrow. Rows
-come sorted by bucket; a file is closed where the bucket changes or it is full,
-under a name that only this attempt uses, and renamed when it is whole.
+Rows come sorted by bucket; a file is closed where the bucket changes or it is
+full. Files are written straight into the data folder, each under a name that
+only its attempt uses: they count for nothing until a commit lists them, so no
+file is renamed or read again, and what a lost task leaves is an orphan. A
+task's manifest rows (counts and times as written) go to the shared metadata
+folder with the same job; nothing per file passes the driver.
 """
 
 from __future__ import annotations
@@ -13,38 +16,43 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.fanout import ordered
 from ..schema import BOUNDS, STORED
-from .catalog import FILES, Catalog
+from ..sources.files import arrow_store
 
-# Keys of the footer's document.
+FILES = "path string, grid_partition string, year string, rows long, bytes long, min_datetime timestamp, max_datetime timestamp"
+
+# Keys of the footer's documents.
 GEO = {"version": "1.1.0", "primary_column": "geometry", "columns": {"geometry": {"encoding": "WKB", "geometry_types": []}}}
+ITEMS = {"stac-geoparquet:version": "1.0.0", "collections": {}}
+FOOTER = {"geo": json.dumps(GEO), "stac-geoparquet": json.dumps(ITEMS)}
+
 
+def write_files(rows: DataFrame, data: str, listing: str, kind: str = "part", number: int = 0, rows_per_file: int = 1_000_000, codec: str = "zstd", missing_last: bool = False) -> DataFrame:
+    """Write fanned-out rows below the folder `data`, and the manifest rows of the new files to the folder `listing`; these rows.
 
-def write_rows(catalog: Catalog, rows: DataFrame, rows_per_file: int = 1_000_000) -> DataFrame:
-    """Write fanned-out rows as new data files of a catalogue; their manifest rows (path, cell, year, rows, bytes, times)."""
-    names = [*STORED.fieldNames(), *BOUNDS, "year"]
-    data, batch_id = catalog.data, uuid.uuid4().hex[:12]
+    Files are named kind_number_…, so files of a later number come later by name.
+    """
+    names = [*STORED.fieldNames(), *[b for b in BOUNDS if b in rows.columns], "year"]
+    head = data if "://" in data or data.startswith("file:") else "file:" + data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, top = pafs.FileSystem.from_uri(data) if "://" in data or data.startswith("file:") else (pafs.LocalFileSystem(), data)
-        writer = bucket = rough = final = None
+        store, top = arrow_store(data)
+        task = TaskContext.get().partitionId()
+        writer = bucket = name = None
         low = high = None
         count = 0
 
         def close():
             nonlocal writer
             writer.close()
-            store.move(rough, final)
-            size = store.get_file_info(final).size
             writer = None
-            head = data.split("://")[0] + "://" if "://" in data else "file:"
-            made = [head + final, bucket[0], bucket[1], count, size, low, high]
+            made = [f"{head}/{name}", bucket[0], bucket[1], count, store.get_file_info(f"{top}/{name}").size, low, high]
             kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.timestamp("us", "UTC"), pa.timestamp("us", "UTC")]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(made, kinds)], names=[c.split()[0] for c in FILES.split(", ")])
 
@@ -57,13 +65,12 @@ def write_rows(catalog: Catalog, rows: DataFrame, rows_per_file: int = 1_000_000
                     yield close()
                 if writer is None:
                     bucket, count, low, high = here, 0, None, None
-                    folder = f"{top}/grid_partition={here[0]}/year={here[1]}"
-                    store.create_dir(folder, recursive=True)
-                    name = uuid.uuid4().hex[:12]
-                    rough, final = f"{folder}/.{batch_id}-{name}", f"{folder}/part_{name}.parquet"
+                    folder = f"grid_partition={here[0]}/year={here[1]}"
+                    store.create_dir(f"{top}/{folder}", recursive=True)
+                    name = f"{folder}/{kind}_{number:06d}_{task:06d}-{uuid.uuid4().hex[:12]}.parquet"
                     kept = [i for i, n in enumerate(batch.schema.names) if n not in ("grid_partition", "year")]
-                    schema = pa.schema([batch.schema.field(i) for i in kept], metadata={"geo": json.dumps(GEO)})
-                    writer = pq.ParquetWriter(rough, schema, filesystem=store, compression="zstd")
+                    schema = pa.schema([batch.schema.field(i) for i in kept], metadata=FOOTER)
+                    writer = pq.ParquetWriter(f"{top}/{name}", schema, filesystem=store, compression=codec)
                 end = start
                 while end < batch.num_rows and (cells[end], years[end]) == bucket and end - start + count < rows_per_file:
                     end += 1
@@ -77,10 +84,11 @@ def write_rows(catalog: Catalog, rows: DataFrame, rows_per_file: int = 1_000_000
         if writer is not None:
             yield close()
 
-    out = ordered(rows).select(*[F.col(f"`{n}`") for n in names])
-    return catalog.spark.createDataFrame(out.mapInArrow(run, FILES).collect(), FILES)  # one row for each file
+    out = ordered(rows, missing_last).select(*[F.col(f"`{n}`") for n in names])
+    out.mapInArrow(run, FILES).write.parquet(listing)
+    return rows.sparkSession.read.schema(FILES).parquet(listing)
 
 
-def footer(path: str) -> dict | None:
+def footer(path: str, key: str = "geo") -> dict | None:
     found = pq.read_schema(path).metadata or {}
-    return json.loads(found[b"geo"]) if b"geo" in found else None
+    return json.loads(found[key.encode()]) if key.encode() in found else None

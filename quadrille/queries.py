@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import columns as C
-from .functions.geometry import box, to_wkb
+from .functions.geometry import box, boxes_to_wkb
 from .operators import dedup, delta, fanout, hashindex, joins, reports
 from .operators.grids import LatLonGrid
 from .plans import maintenance, query
@@ -412,7 +412,7 @@ def region_join(spark, sf_dir):
 
 
 def _wkb_of_boxes(x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series) -> pd.Series:
-    return pd.Series([to_wkb(box(*b)) for b in zip(x0, y0, x1, y1)])
+    return pd.Series(boxes_to_wkb(x0, y0, x1, y1))
 
 
 @registered()

@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .files import arrow_store
+
 FETCHED = "bucket string, key string, body string, error string"
 _BUSY = ("SlowDown", "<Error>")
 
@@ -21,7 +22,7 @@ class NotThere(Exception):
 
 def object_reader(root: str) -> Callable[[str, str], bytes]:
     """A reader of root/bucket/key through any file system that Arrow knows."""
-    store, top = pafs.FileSystem.from_uri(root) if "://" in root else (pafs.LocalFileSystem(), root)
+    store, top = arrow_store(root)
 
     def read(bucket: str, key: str) -> bytes:
         try:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions import columns as C
 
@@ -54,6 +54,20 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True
     return True
 
 
+def modified_at(spark: SparkSession, path: str) -> float:
+    """When a path was last changed, in seconds."""
+    fs, where = hadoop(spark, path)
+    return fs.getFileStatus(where).getModificationTime() / 1000
+
+
+def arrow_store(uri: str) -> tuple[pafs.FileSystem, str]:
+    """(Arrow file system, path in it) of a path as Spark writes it; Hadoop's names for S3 are Arrow's `s3`."""
+    scheme, mark, rest = uri.partition("://")
+    if mark and scheme != "file":
+        return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
+    return pafs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/") if uri.startswith("file:") else uri
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, where = hadoop(spark, path)
     fs.delete(where, True)
@@ -90,10 +104,8 @@ def read_typed_csv(spark: SparkSession, path: str, schema: str = "id string") ->
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    """A folder of Parquet files, or no rows where there is none; any other fault is an error."""
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def pending_deltas(spark: SparkSession, folder: str) -> list[str]:
@@ -105,11 +117,6 @@ def chunk_numbers(spark: SparkSession, folder: str) -> list[int]:
     return sorted(int(n[6:-8]) for n in names if n[6:-8].isdigit())
 
 
-def keys_with_ids(rows: DataFrame) -> DataFrame:
-    """(id, bucket, key) of inventory rows."""
-    return rows.select(C.id_of_key(F.col("key")).alias("id"), "bucket", "key")
-
-
 # ---------------------------------------------------------------- sinks
 
 

@@ -18,18 +18,18 @@ def _first_line(spark: SparkSession, path: str) -> str:
     return lines[0].value if lines else ""
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """(bucket, key, last_modified text) of CSV, also gzipped.
+def read_csv(spark: SparkSession, *paths: str) -> DataFrame:
+    """(bucket, key, last_modified text) of CSV, also gzipped; several files are one read and have one layout, the first file's.
 
     Bucket and key are the first two columns whatever the header calls them. A
     first row whose first field is `bucket` is a header and may place the time
     of modification; without a header there is none. Blank rows are skipped.
     """
-    head = [h.strip().strip('"').lower() for h in _first_line(spark, path).split(",")]
+    head = [h.strip().strip('"').lower() for h in _first_line(spark, paths[0]).split(",")]
     has_header = head[0] == "bucket"
     names = [f"_{i}" for i in range(max(2, len(head)))]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = spark.read.schema(schema).option("header", has_header).option("enforceSchema", True).option("escape", '"').csv(path)
+    rows = spark.read.schema(schema).option("header", has_header).option("enforceSchema", True).option("escape", '"').csv(list(paths))
     modified = F.col(f"_{head.index(MODIFIED)}") if has_header and MODIFIED in head else F.lit(None).cast("string")
     return rows.select(F.col("_0").alias("bucket"), F.col("_1").alias("key"), modified.alias("last_modified")).where("coalesce(bucket, '') != '' or coalesce(key, '') != ''")
 
@@ -66,10 +66,7 @@ def read_manifest(spark: SparkSession, path: str, resolve=None) -> DataFrame:
         return spark.createDataFrame([], "bucket string, key string, last_modified string")
     if found["format"] == "PARQUET" or paths[0].endswith(".parquet"):
         return read_parquet(spark, *paths)
-    out = read_csv(spark, paths[0])
-    for p in paths[1:]:
-        out = out.unionByName(read_csv(spark, p))
-    return out
+    return read_csv(spark, *paths)
 
 
 def read_inventory(spark: SparkSession, path: str, since: str | None = None, limit: int | None = None, resolve=None) -> DataFrame:
@@ -91,6 +88,11 @@ def read_inventory(spark: SparkSession, path: str, since: str | None = None, lim
     return rows if limit is None else rows.limit(limit)
 
 
+def keys_with_ids_of(rows: DataFrame) -> DataFrame:
+    """(id, bucket, key) of inventory rows."""
+    return rows.select(C.id_of_key(F.col("key")).alias("id"), "bucket", "key")
+
+
 def inventory_of(spark: SparkSession, folder: str, bucket: str, limit: int | None = None) -> DataFrame:
     """(bucket, key) of the JSON files below a folder, by name: an inventory for tests."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(folder)

@@ -20,12 +20,11 @@ def start(catalog: Catalog, documents: DataFrame, checkpoint: str, deduplicate:
 
     def commit(batch: DataFrame, number: int) -> None:
         action = f"stream {checkpoint} batch {number}"
-        if any(s["action"] == action for s in catalog.snapshots()):
+        if catalog.committed(action):
             return
         rows = fanout.fan_out(fanout.parse_items(batch.where("trim(body) != ''").select("body")), catalog.grid())
         rows = latest(rows, deduplicate) if deduplicate else rows
-        added = catalog.write_rows(rows)
-        catalog.commit(catalog.files().unionByName(added), action)
+        catalog.append(rows, action)
 
     writer = documents.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()

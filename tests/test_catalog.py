@@ -123,6 +123,19 @@ def test_ingest_from_objects(spark, catalog, tmp_path):
     again = ingest.backfill(other, str(tmp_path / "inv.csv"), lambda: fetch.object_reader(root), str(tmp_path / "stage"), chunk_rows=3)
     assert again["skipped"] == first["chunks"] and again["rows"] == 0
     assert ingest.pending(other, str(tmp_path / "stage")).count() == 2
+    # A run that died before its marker commits nothing twice.
+    for name in (tmp_path / "stage" / "done").iterdir():
+        name.unlink()
+    snapshots = len(other.snapshots())
+    assert ingest.backfill(other, str(tmp_path / "inv.csv"), lambda: fetch.object_reader(root), str(tmp_path / "stage"), chunk_rows=3)["rows"] == 0 and len(other.snapshots()) == snapshots
+    # What failed is asked for again, and is pending no more once it has come.
+    (store / "gone.stac.json").write_text(json.dumps(item("late", 2021, 40.0)))
+    assert ingest.backfill(other, str(tmp_path / "inv.csv"), lambda: fetch.object_reader(root), str(tmp_path / "stage"), chunk_rows=3)["retried"] == 2
+    assert {r.key for r in ingest.pending(other, str(tmp_path / "stage")).collect()} == {"bad.stac.json"} and other.read().where("id = 'late'").count() > 0
+    # A chunk folder whose write was not completed is made again.
+    (tmp_path / "stage2" / "chunks" / "chunk=0").mkdir(parents=True)
+    third = Catalog.create(spark, str(tmp_path / "cat3"), LatLonGrid(1))
+    assert ingest.backfill(third, str(tmp_path / "inv.csv"), lambda: fetch.object_reader(root), str(tmp_path / "stage2"), chunk_rows=100)["rows"] > report["rows"]
     ingest.clean_up(other, str(tmp_path / "stage"))
     assert ingest.pending(other, str(tmp_path / "stage")).count() == 0
 
@@ -214,13 +227,96 @@ def test_compact(spark, catalog):
     rows = catalog.read()
     assert {r.id for r in rows.select("id").collect()} == set("abcde") and rows.groupBy("grid_partition", "year", "id").count().where("count > 1").count() == 0
     assert {r.version for r in rows.where("id = 'a'").select("version").collect()} == {"2"}
-    assert catalog.describe_files().count() == buckets and catalog.properties()["grid.resolution"] == "1"
+    assert catalog.properties()["grid.resolution"] == "1" and {r.kind for r in catalog.files().select(C.file_class(F.col("path")).alias("kind")).collect()} == {"compacted"}
     assert maintenance.compact(catalog)["buckets_compacted"] == 0
-    assert maintenance.remove_orphans(catalog).count() == 0
+    # Old files stay until their snapshots are out of grace.
+    assert maintenance.expire(catalog, 1.0) == 0 and maintenance.remove_orphans(catalog, False, 0.0).count() == 0
+    assert catalog.read(catalog.files(1)).count() > 0 and maintenance.expire(catalog, 0.0) == 2
+    assert maintenance.remove_orphans(catalog, False, 1.0).count() == 0
+    assert maintenance.remove_orphans(catalog, False, 0.0).count() == 2 * buckets
+    assert catalog.describe_files().count() == buckets and catalog.read().count() == report["output_rows"]
     found = reports.validate(catalog)
     assert found["unmatched"].count() == 0 and found["ids"].first().unique == 5
 
 
+def test_readers_keep_their_files_while_others_compact(spark, catalog):
+    for n in "ab":
+        ingest.ingest_documents(catalog, documents(spark, item(n)))
+    rows = catalog.read()
+    before = rows.count()
+    maintenance.compact(catalog)
+    assert rows.count() == before > 0
+
+
+def test_commits_that_come_between_are_not_lost(spark, catalog):
+    ingest.ingest_documents(catalog, documents(spark, item("a")))
+    made = fanout.fan_out(fanout.parse_items(documents(spark, item("b"))), catalog.grid())
+    added = catalog.write_rows(made)
+    turns = []
+
+    def slow(listed):
+        if not turns:  # another writer commits after this one has read the manifest
+            turns.append(1)
+            ingest.ingest_documents(catalog, documents(spark, item("c")))
+        return listed.unionByName(added)
+
+    catalog.change(slow, "slow")
+    assert {r.id for r in catalog.read().select("id").collect()} == set("abc")
+    gone = catalog.files().limit(1)
+    listed = spark.createDataFrame(gone.collect(), gone.schema)
+    catalog.replace_files(listed, listed.limit(0), "drop")
+    with pytest.raises(RuntimeError):
+        catalog.replace_files(listed, listed.limit(0), "drop again")
+
+
+def test_compaction_checks_what_it_read_and_wrote(spark, catalog):
+    for n in "ab":
+        ingest.ingest_documents(catalog, documents(spark, item(n)))
+    now = catalog.current()["id"]
+    with pytest.raises(RuntimeError):  # a dedup that loses rows
+        maintenance._rewrite(catalog, maintenance._fixed(catalog, catalog.files()), "updated", "bad", dedup=lambda df: df.where("id = 'a'"))
+    first = catalog.files().first().path
+    files.remove(spark, first)
+    with pytest.raises(Exception):
+        maintenance.compact(catalog)
+    assert catalog.current()["id"] == now
+
+
+def test_finish_makes_one_compacted_file_of_every_bucket(spark, catalog):
+    ingest.ingest_documents(catalog, documents(spark, item("a"), item("b", 2022)))
+    maintenance_report = maintenance.finish(catalog)
+    assert maintenance_report["files_before"] == maintenance_report["files_after"] == 24
+    assert maintenance.finish(catalog)["files_before"] == 0
+    results = spark.createDataFrame([("c1", "2021", 10, 8), ("c1", "2022", 5, 5), ("c2", "2021", 2, 1)], "grid_partition string, year string, input_rows long, output_rows long")
+    assert {r.year: (r.buckets, r.unique, r.duplicates) for r in reports.rollup_by_year(results).collect()} == {"2021": (2, 9, 3), "2022": (1, 5, 0)}
+    top = reports.rollup_by_cell(results, 1).first()
+    assert (top.grid_partition, top.years, top.unique) == ("c1", 2, 13) and abs(top.duplicate_pct - 100 * 2 / 15) < 1e-9
+
+
+def test_part_numbers_follow_commits(spark, catalog):
+    for n in "ab":
+        ingest.ingest_documents(catalog, documents(spark, item(n)))
+    assert {r.next_part for r in reports.next_part(catalog.files()).collect()} == {3}
+    odd = spark.createDataFrame([("c", "2021", "x/part_4adb.parquet"), ("c", "2021", "x/part_000002.parquet")], "grid_partition string, year string, path string")
+    assert reports.next_part(odd).first().next_part == 3
+
+
+def test_repair_in_place(spark, catalog):
+    ingest.ingest_documents(catalog, documents(spark, item("a"), item("b", 2022)))
+    where = f"{catalog.data}/grid_partition=x17y15/year=2021"
+    documents(spark, item("raw")).withColumnRenamed("body", "raw_stac").coalesce(1).write.mode("append").parquet(where)
+    plain = catalog.read().where("grid_partition = 'x17y15' and year = '2021'").drop("grid_partition", "year")
+    plain.withColumn("id", F.lit("soft")).coalesce(1).write.mode("append").option("compression", "snappy").parquet(where)
+    catalog.register()
+    before = catalog.files().agg(F.sum("rows")).first()[0]
+    assert {r.status for r in maintenance.repair_plan(catalog).collect()} == {"raw-document", "recompress"}
+    report = maintenance.repair_files(catalog)
+    assert report["files"] == 2 and report["rows"] == 2 and catalog.files().agg(F.sum("rows")).first()[0] == before
+    got = {r.id: r for r in catalog.read().where("grid_partition = 'x17y15' and year = '2021'").collect()}
+    assert set(got) == {"a", "raw", "soft"} and got["raw"].platform == "P1"
+    assert maintenance.repair_files(catalog)["files"] == 0
+
+
 def manifest(spark, counts):
     return spark.createDataFrame([(f"part_{i:06d}", "c", "2021", n, 1, None, None) for i, n in enumerate(counts)], "path string, grid_partition string, year string, rows long, bytes long, min_datetime timestamp, max_datetime timestamp")
 
@@ -268,15 +364,24 @@ def _parquet(spark, tmp_path):
 
 def test_geo_footer_writer(spark, catalog):
     rows = fanout.fan_out(fanout.parse_items(documents(spark, *[item(f"i{k}", x=10.0 * k) for k in range(6)])), catalog.grid())
-    added = geoparquet.write_rows(catalog, rows, rows_per_file=2)
+    added = catalog.write_rows(rows, rows_per_file=2)
     catalog.commit(added, "append")
     assert catalog.read().count() == rows.count() == added.agg(F.sum("rows")).first()[0]
     assert added.agg(F.max("rows")).first()[0] == 2
     first = added.first()
     assert geoparquet.footer(first.path.removeprefix("file:"))["primary_column"] == "geometry"
+    assert "stac-geoparquet:version" in geoparquet.footer(first.path.removeprefix("file:"), "stac-geoparquet")
     assert query.search(catalog, geo.box(-5, 61, 5, 62), distinct_items=True).count() == 2
     described = {r.path.split("/data/")[1]: r.rows for r in catalog.describe_files().collect()}
     assert described == {r.path.split("/data/")[1]: r.rows for r in added.collect()}
+    assert catalog.write_rows(rows.limit(0)).count() == 0
+    seen = []
+
+    def own_writer(rows, data, listing, **options):
+        seen.append(options["kind"])
+        return geoparquet.write_files(rows, data, listing, **options)
+
+    assert catalog.write_rows(rows, own_writer, kind="other").count() > 0 and seen == ["other"]
 
 
 def test_reports_of_a_catalogue(spark, catalog, tmp_path):
@@ -313,6 +418,9 @@ def test_hash_index_and_delta(spark, tmp_path):
     assert hashindex.merge_index(spark, index, known) == {"before": 0, "added": 2, "total": 2}
     hashes = [bytes(r.id_hash) for r in hashindex.read_index(spark, index).collect()]
     assert hashes == sorted(hashes) and all(len(h) == 16 for h in hashes)
+    # A version without its pointer (the writer died) changes nothing.
+    spark.createDataFrame([(b"x" * 16,)], "id_hash binary").write.parquet(f"{index}/v-dead")
+    assert hashindex.read_index(spark, index).count() == 2
     assert hashindex.merge_from_keys(spark, index, spark.createDataFrame([("p/i2.stac.json",), ("p/i9.stac.json",)], "key string"))["added"] == 1
     inv = lambda *names: spark.createDataFrame([("b", f"p/{n}.stac.json") for n in names], "bucket string, key string")
     one = delta.daily_delta(spark, inv("i1", "i2", "i3"), index, folder, "2026-01-01")
@@ -362,14 +470,28 @@ def test_cli(spark, catalog, tmp_path, capsys):
     assert run("compact", "--dry-run")["buckets_scanned"] == 24
     assert run("index", str(tmp_path / "ix"))["hashes"] == 2
     assert run("register")["snapshot"] == 2
+    assert run("finish")["files_after"] == 24 and run("expire", "--grace-hours", "0")["files"] == 24
+    assert run("repair", "--dry-run") == [] and {"summary", "ids"} <= set(run("validate"))
+    (tmp_path / "a.csv").write_text("bucket,key\nb,p/a.stac.json\nb,p/z.stac.json\n")
+    (tmp_path / "b.csv").write_text("bucket,key\nb,p/a.stac.json\n")
+    spark.createDataFrame([("b", "s3://k/b.nc")], "id string, href string").write.parquet(str(tmp_path / "db.parquet"))
+    assert run("index-update", str(tmp_path / "ix"), str(tmp_path / "a.csv")) == {"before": 2, "added": 1, "total": 3}
+    assert run("compare", "--a", str(tmp_path / "a.csv"), "--b", str(tmp_path / "b.csv"))["counts"][0]["only_a"] == 1
+    assert len(run("audit", "--inventory", str(tmp_path / "a.csv"), "--database", str(tmp_path / "db.parquet"), "--out", str(tmp_path / "lack.parquet"))) == 3
+    assert [r.key for r in spark.read.parquet(str(tmp_path / "lack.parquet")).collect()] == ["p/z.stac.json"]
+    for name, sizes in (("m1", (1, 2)), ("m2", (1, 3))):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"files": [{"key": f"k{i}", "MD5checksum": "m", "size": n} for i, n in enumerate(sizes)]}))
+    assert run("diff", str(tmp_path / "m1.json"), str(tmp_path / "m2.json")) == [{"status": "changed", "files": 1}, {"status": "same", "files": 1}]
 
 
 def test_config(tmp_path):
-    (tmp_path / "c.yaml").write_text("catalog: {root: r}\ngrid: {resolution: 2}\n")
-    cfg = config.load(str(tmp_path / "c.yaml"))
-    assert cfg.catalog.root == "r" and cfg.grid.resolution == 2 and (cfg.ingest.chunk_size, cfg.ingest.max_workers, cfg.ingest.batch_add_files) == (500, 16, False)
-    with pytest.raises(ValueError):
-        config.from_dict({"grid": {"x": 1}})
+    (tmp_path / "c.yaml").write_text("place: {root: r, resolution: 2}\nwriting: {rows_per_file: 5}\n")
+    s = config.read({"reading": {"retries": 1}}, config.load(str(tmp_path / "c.yaml")))
+    assert s.place.root == "r" and s.place.resolution == 2 and s.write_options() == {"rows_per_file": 5, "codec": "zstd"}
+    assert s.fetch_options() == {"concurrency": 64, "retries": 1, "wait": 0.5}
+    for bad in ({"place": {"x": 1}}, {"other": {}}):
+        with pytest.raises(ValueError):
+            config.read(bad)
 
 
 def test_sinks(spark, tmp_path):

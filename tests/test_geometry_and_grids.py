@@ -32,6 +32,38 @@ def test_bad_geometry(bad):
         geo.from_geojson(bad)
 
 
+def test_wkb_with_more_dimensions():
+    import struct
+
+    z = struct.pack("<BIddd", 1, 1001, 1.0, 2.0, 9.0)
+    flagged = struct.pack("<BIIdddd", 1, 0x80000000 | 0x40000000 | 0x20000000 | 1, 4326, 1.0, 2.0, 9.0, 8.0)
+    ring = struct.pack("<BIII", 1, 1003, 1, 4) + b"".join(struct.pack("<ddd", *p, 5.0) for p in ((0, 0), (1, 0), (1, 1), (0, 0)))
+    assert geo.from_wkb(z) == geo.from_wkb(flagged) == {"type": "Point", "coordinates": [1.0, 2.0]}
+    assert geo.from_wkb(ring)["coordinates"] == [[[0, 0], [1, 0], [1, 1], [0, 0]]]
+    for bad in (b"", b"\x01", b"\x01\x63\x00\x00\x00", struct.pack("<BII", 1, 2, 1000)):
+        with pytest.raises(geo.BadGeometry):
+            geo.from_wkb(bad)
+        assert not geo.wkb_intersects(bad, SHAPES[2])
+
+
+def test_boxes_in_batches():
+    rnd = random.Random(3)
+    corners = [(x, y, x + rnd.random(), y + rnd.random()) for x, y in ((rnd.uniform(-9, 9), rnd.uniform(-9, 9)) for _ in range(50))]
+    assert geo.boxes_to_wkb(*map(list, zip(*corners))) == [geo.to_wkb(geo.box(*c)) for c in corners]
+    other = {"type": "Polygon", "coordinates": [[[0, 0], [1, 1], [1, 2], [0, 1], [0, 0]]]}
+    mixed = [geo.to_wkb(geo.box(0, 0, 1, 1)), None, b"bad", geo.to_wkb(other), *map(geo.to_wkb, SHAPES)]
+    assert geo.boxes_of(mixed).tolist() == [True] + [False] * (len(mixed) - 1)
+    assert geo.is_box(geo.box(0, 0, 2, 1)) and not geo.is_box(other)
+
+
+def test_footprints_of_any_shape(spark):
+    shapes = [("box", geo.to_wkb(geo.box(0, 0, 1, 1))), ("slant", geo.to_wkb({"type": "Polygon", "coordinates": [[[0, 0], [10, 10], [10, 11], [0, 1], [0, 0]]]})), ("bad", b"zz"), ("none", None)]
+    rows = spark.createDataFrame([(k, w, 0.0, 0.0, 10.0, 11.0) for k, w in shapes], "id string, geometry binary, xmin double, ymin double, xmax double, ymax double")
+    meets = lambda g: {r.id for r in fanout.footprint_filter(rows, g).collect()}
+    assert meets(geo.box(0.5, 0.5, 0.6, 0.6)) == {"box", "slant"}
+    assert meets({"type": "Point", "coordinates": [9, 0.5]}) == set()
+
+
 def test_intersects():
     outer = SHAPES[2]
     assert geo.intersects(outer, {"type": "Point", "coordinates": [1, 1]})
