@@ -320,7 +320,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 30) ->
     """Rows (node, root) for all nodes of undirected edges; root is the smallest node of the component.
 
     Large-star and small-star steps in turn, each a minimum by node joined back
-    to the node's edges, until a round of two of both changes nothing, so that
+    to the node's edges, until a round changes nothing, so that
     every node hangs on its root (an error if that takes over `most` rounds). A
     round is one job, written to the shared folder, and a checksum that comes
     with it tells whether anything changed; a lost executor costs one round.
@@ -329,7 +329,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 30) ->
     checksum = {"n": F.count(F.lit(1)), "x": F.bit_xor(F.xxhash64("u", "v"))}
     before = None
     for _ in range(most):
-        state, after = observed(_stars(_stars(state)), "edges", checksum, small=True)
+        state, after = observed(_stars(state), "edges", checksum, small=True)
         if after == before or not after["n"]:
             break
         before = after
