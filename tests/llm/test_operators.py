@@ -348,6 +348,73 @@ def test_forest_recall_ties_and_odd_rows(spark):
     assert few.count() == 3
 
 
+def embeddings_of(folder):
+    import pyarrow.dataset as ds
+
+    table = ds.dataset(f"/root/testdata/{folder}/embeddings.parquet").to_table()
+    return table["vec_id"].to_numpy(), np.array(table["embedding"].to_pylist(), float)
+
+
+def forest_recall(ids, vectors, step, k=10):
+    """Recall against brute force and the share of rows that are compared, of a forest over all rows."""
+    made = forest.Forest(vectors, forest.TREES, forest.BITS)
+    asked = np.flatnonzero(ids % step == 0)
+    hits, compared = [], []
+    for q, found in zip(asked, made.candidates(vectors[asked], max(forest.FEWEST, int(forest.SHARE * len(ids))), forest.REACH)):
+        d = ((vectors - vectors[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits.append(len(set(np.argsort(d)[:k].tolist()) & set(found.tolist())) / k)
+        compared.append(len(found) / len(ids))
+    return float(np.mean(hits)), float(np.mean(compared))
+
+
+@pytest.mark.parametrize("folder,step", [("sf0.01", 10), ("sf0.1", 25), ("check_s", 100)])
+def test_forest_recall_on_the_tables(folder, step):
+    import os
+
+    if not os.path.exists(f"/root/testdata/{folder}/embeddings.parquet"):
+        pytest.skip("no tables")
+    ids, vectors = embeddings_of(folder)
+    recall, compared = forest_recall(ids, vectors, step)
+    print(folder, len(ids), recall, compared)
+    assert recall >= 0.9 and compared <= max(0.2, 1.2 * forest.FEWEST / len(ids))
+
+
+def test_forest_touches_few_rows_of_clustered_vectors():
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((200, 64))
+    vectors = np.repeat(centres, 50, axis=0) + 0.1 * rng.standard_normal((10_000, 64))
+    recall, compared = forest_recall(np.arange(10_000), vectors, 200)
+    assert recall >= 0.97 and compared <= 0.2
+
+
+def test_forest_query_reaches_its_recall(spark):
+    import os
+
+    if not os.path.exists("/root/testdata/sf0.1/embeddings.parquet"):
+        pytest.skip("no tables")
+    ids, vectors = embeddings_of("sf0.1")
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    for block_rows in (1 << 15, 700):  # one block, and several
+        got = forest.search(df, F.col("vec_id") % 100 == 0, block_rows=block_rows, chunk_rows=8).toPandas()
+        hits = 0
+        for q in np.flatnonzero(ids % 100 == 0):
+            d = np.sqrt(((vectors - vectors[q]) ** 2).sum(axis=1))
+            d[q] = np.inf
+            mine = got[got.query_id == ids[q]].sort_values("rank")
+            hits += len(set(ids[np.argsort(d)[:10]]) & set(mine.vec_id))
+            assert np.array_equal(mine.score, [np.sqrt(((vectors[ids == i][0] - vectors[q]) ** 2).sum()) for i in mine.vec_id])
+        assert len(got) == 10 * (ids % 100 == 0).sum() and hits / len(got) >= 0.9
+
+
+def test_forest_repeated_rows(spark):
+    rows = [(k, [float(k % 7), 1.0]) for k in range(60)] * 3 + [(100, [0.0, 1.0])] * 5 + [(100, [3.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = forest.search(df, F.col("vec_id") % 100 == 0).toPandas()
+    assert got.groupby("query_id").vec_id.nunique().to_dict() == {0: 10, 100: 10}
+    assert got[got.query_id == 0].sort_values("rank").vec_id.tolist() == [7, 14, 21, 28, 35, 42, 49, 56, 100, 1]
+
+
 # ---------------------------------------------------------------- 6
 
 
