@@ -1,19 +1,27 @@
 """Operator 7 [native]: a homomorphic multiset hash of a text's paragraphs.
 
-Each paragraph is hashed to a wide vector of 0/1 lanes (64 for each
-seed), and a text's fingerprint is the sum of its paragraphs' vectors, each
-lane modulo 2**32, with the number of paragraphs. The sum does not depend on
-order, and a paragraph can be added to or taken from a fingerprint without the
-rest of the text. As a lane says +1 or -1 with equal chance, the normalised
-product of two fingerprints estimates the cosine of the two multisets; the
-estimate, cut to 0..1, is the likeness.
+Each paragraph is hashed to a wide vector, and a text's fingerprint is the sum
+of its paragraphs' vectors, lane by lane, modulo powers of two, with the number
+of paragraphs. The sum does not depend on order, and a paragraph can be added to
+or taken from a fingerprint without the rest of the text.
+
+A vector has two parts. WIDE lanes of 32 bits each, the halves of seeded 64-bit
+hashes, are summed modulo 2**32: they say whether two multisets are equal. SIGNS
+lanes of one bit each, again from seeded hashes, are summed modulo 2**32 as well:
+a lane says +1 or -1 with equal chance, so the normalised product of two
+fingerprints' signed lanes estimates the cosine of the two multisets; the
+estimate, cut to 0..1, is the likeness. (Signed lanes stand for true counts while
+a multiset has fewer than 2**31 paragraphs; the wide lanes wrap with the second.)
 
 Paragraphs are what lies between line breaks and after sentence ends (a
 pattern, as a parameter), so that a text of one line has several.
 
-Only SQL expressions are used. Two lanes share a 64-bit number, and the sums
-are plain long sums of a hash aggregate over the exploded paragraphs, made
-where the text already lies, so that paragraphs are never shuffled.
+Only SQL expressions are used. The sums are plain long sums of a hash aggregate
+over the exploded paragraphs, made where the text already lies, so that
+paragraphs are never shuffled. Two sign lanes share a 64-bit number; a text of
+at most 2**31 bytes cannot carry from the lower to the upper one, and sums of
+sums are reduced lane by lane (`combine`). Wide lanes are reduced at the end: 32
+bits times 2**31 paragraphs fit a long.
 
 Null is the empty text, which has no paragraphs and the all-zero fingerprint.
 Two fingerprints without paragraphs have likeness 1, one without and one with
@@ -29,10 +37,14 @@ from pyspark.sql import functions as F
 from . import common
 
 PARAGRAPH = r"\n+|(?<=[.!?]) +"
-SEEDS = (11, 37)
+#: Seeds of the sign lanes (64 for each) and of the wide lanes (2 for each).
+SIGN_SEEDS = (11, 37)
+WIDE_SEEDS = (101, 211, 307, 401, 503, 601, 701, 809)
 _LANE = 0xFFFFFFFF
 _ONES = (1 << 32) | 1
-LONGS = 32 * len(SEEDS)
+LONGS = 32 * len(SIGN_SEEDS)
+WIDE = 2 * len(WIDE_SEEDS)
+RANGE_BYTES = 32 << 20
 
 
 def paragraphs(text: Column, pattern: str = PARAGRAPH) -> Column:
@@ -40,16 +52,28 @@ def paragraphs(text: Column, pattern: str = PARAGRAPH) -> Column:
 
 
 def _hashes(text: Column, side: int, pattern: str) -> Column:
-    """An array of structs (side, h0, h1, ...), one for each paragraph."""
-    return F.transform(paragraphs(text, pattern), lambda p: F.struct(F.lit(side).alias("side"), *[F.xxhash64(F.lit(seed), p).alias(f"h{k}") for k, seed in enumerate(SEEDS)]))
+    """An array of structs (side, h0, h1, ..., w0, w1, ...), one for each paragraph."""
+
+    def made(p: Column) -> Column:
+        signs = [F.xxhash64(F.lit(seed), p).alias(f"h{k}") for k, seed in enumerate(SIGN_SEEDS)]
+        return F.struct(F.lit(side).alias("side"), *signs, *[F.xxhash64(F.lit(seed), p).alias(f"w{k}") for k, seed in enumerate(WIDE_SEEDS)])
+
+    return F.transform(paragraphs(text, pattern), made)
+
+
+_UNIT = "struct<side:int," + ",".join(f"{n}:bigint" for n in [*(f"h{k}" for k in range(len(SIGN_SEEDS))), *(f"w{k}" for k in range(len(WIDE_SEEDS)))]) + ">"
 
 
 def _sums(rows: DataFrame, keys: list[str], units: Column) -> DataFrame:
     """Fingerprints by keys and side of an array of _hashes; a row without any has one of no paragraphs, with no side."""
     flat = rows.select(*keys, F.explode_outer(units).alias("u")).select(*keys, "u.*")
-    lanes = [F.coalesce(F.sum(F.call_function("shiftrightunsigned", F.col(f"h{k}"), F.lit(i)).bitwiseAND(F.lit(_ONES))), F.lit(0)).alias(f"s{32 * k + i}") for k in range(len(SEEDS)) for i in range(32)]
-    summed = flat.groupBy(*keys, "side").agg(F.count("h0").alias("n"), *lanes)
-    return summed.select(*keys, "side", F.array("n", *[f"s{i}" for i in range(LONGS)]).alias("f"))
+    shifted = lambda c, i: F.call_function("shiftrightunsigned", F.col(c), F.lit(i))
+    lanes = [F.coalesce(F.sum(shifted(f"h{k}", i).bitwiseAND(F.lit(_ONES))), F.lit(0)).alias(f"s{32 * k + i}") for k in range(len(SIGN_SEEDS)) for i in range(32)]
+    halves = [x for k in range(len(WIDE_SEEDS)) for x in (F.col(f"w{k}").bitwiseAND(F.lit(_LANE)), shifted(f"w{k}", 32))]
+    wide = [F.coalesce(F.sum(x), F.lit(0)).alias(f"v{i}") for i, x in enumerate(halves)]
+    summed = flat.groupBy(*keys, "side").agg(F.count("h0").alias("n"), *lanes, *wide)
+    reduced = [F.col(f"v{i}").bitwiseAND(F.lit(_LANE)) for i in range(WIDE)]
+    return summed.select(*keys, "side", F.array("n", *[f"s{i}" for i in range(LONGS)], *reduced).alias("f"))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -61,7 +85,8 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
         return F.shiftleft(high, 32).bitwiseOR(low)
 
     n = F.element_at(a, 1) + F.element_at(b, 1) * sign
-    return F.concat(F.array(n), F.zip_with(F.slice(a, 2, LONGS), F.slice(b, 2, LONGS), lanes))
+    wide = F.zip_with(F.slice(a, 2 + LONGS, WIDE), F.slice(b, 2 + LONGS, WIDE), lambda x, y: F.pmod(x + y * sign, F.lit(1 << 32)))
+    return F.concat(F.array(n), F.zip_with(F.slice(a, 2, LONGS), F.slice(b, 2, LONGS), lanes), wide)
 
 
 def as_text(v: Column) -> Column:
@@ -121,17 +146,20 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     first as many (or all) of the next text. Rows with null ids come first;
     rows of one id follow each other in the order of a hash of their content.
 
-    Rows are dealt to ranges of ids, whose bounds are quantiles (two for each
-    shuffle partition); this is the only shuffle of texts, and all that follows
+    Rows are dealt to ranges of ids, whose bounds are quantiles: ranges of
+    about RANGE_BYTES of text, and two for each shuffle partition at least.
+    This is the only shuffle of texts, and all that follows
     happens within a range. The next row is a lead; the last row of a range
     takes the first row of the next range that has rows, and that of the last
     range the very first.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    parts = common.parallelism(docs)
-    wanted = [i / (2 * parts) for i in range(1, 2 * parts)]
-    found = base.agg(F.percentile_approx("doc_id", wanted, 100 * parts)).first()[0] or []
+    parts = 2 * common.parallelism(docs)
+    ranges = max(parts, (base.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE_BYTES)
+    found = base.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 50 * ranges)).first()[0] or []
     ranged = base.withColumn("__b", _bucket(sorted({int(x) for x in found}), F.col("doc_id")))
+    if ranges > parts:
+        ranged = ranged.repartition(ranges, "__b")
     tie = F.xxhash64("text")
     order = Window.partitionBy("__b").orderBy(F.col("doc_id").asc_nulls_first(), tie)
     firsts = ranged.groupBy("__b").agg(F.min_by("text", F.struct(F.col("doc_id"), tie)).alias("__first"))
@@ -147,9 +175,9 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     edited = paired.select("__b", "__at", "doc_id", "text", "beyond", n.cast("long").alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - k), F.substring("next", F.lit(1), k)).alias("edited"))
     edited = edited.withColumn("edited_sha256", F.sha2(F.encode("edited", "UTF-8"), 256))
     keys = ["__b", "__at", "doc_id", "n_chars", "edited_sha256"]
-    units = F.concat(_hashes(F.col("text"), 0, pattern), _hashes(F.col("edited"), 1, pattern), F.when(F.col("beyond").isNull(), F.array().cast("array<struct<side:int,h0:bigint,h1:bigint>>")).otherwise(_hashes(F.col("beyond"), 2, pattern)))
+    units = F.concat(_hashes(F.col("text"), 0, pattern), _hashes(F.col("edited"), 1, pattern), F.when(F.col("beyond").isNull(), F.array().cast(f"array<{_UNIT}>")).otherwise(_hashes(F.col("beyond"), 2, pattern)))
     sides = _sums(edited, keys, units)
-    none = F.array_repeat(F.lit(0).cast("long"), 1 + LONGS)
+    none = F.array_repeat(F.lit(0).cast("long"), 1 + LONGS + WIDE)
     of = lambda side: F.coalesce(F.max(F.when(F.col("side") == side, F.col("f"))), none)
     # (max: there is one at most)
     rows = sides.groupBy(*keys).agg(of(0).alias("f"), of(1).alias("e"), of(2).alias("beyond"))
