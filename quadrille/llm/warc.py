@@ -20,7 +20,8 @@ from the archives alone.
 Null html is an empty payload. A null url is kept as an absent target. A null
 page id counts as smaller than all others. Rows that repeat page id and
 payload are one response and revisits, of which the response is any one of
-them.
+them. Columns beside page_id, url and html are not archived. A record of any
+length is one frame, and an archive that it fills is closed.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ from . import common
 DICTIONARY_MAGIC = 0x184D2A5D
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 CRLF = b"\r\n"
+SLICE = 1 << 14
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 
@@ -100,10 +102,15 @@ def read_archive(data: bytes) -> Iterator[bytes]:
             known, at = zstandard.ZstdCompressionDict(bytes(view[8 : 8 + size])), 8 + size
     reader = zstandard.ZstdDecompressor(dict_data=known) if known else zstandard.ZstdDecompressor()
     while at < len(data):
-        frame = reader.decompressobj()
-        out = frame.decompress(view[at:])
-        at = len(data) - len(frame.unused_data)
-        yield out
+        # In slices, as what lies behind a frame's end is copied each time.
+        frame, out = reader.decompressobj(), []
+        while not frame.eof and at < len(data):
+            part = view[at : at + SLICE]
+            out.append(frame.decompress(part))
+            at += len(part) - len(frame.unused_data)
+        if not frame.eof:
+            raise ValueError("the archive ends within a record")
+        yield b"".join(out)
 
 
 def train_dictionary(samples: list[bytes], size: int = 65536) -> bytes:
@@ -117,7 +124,17 @@ def train_dictionary(samples: list[bytes], size: int = 65536) -> bytes:
 
 
 def _store(folder: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
+    """(Arrow file system, path in it) of a folder as Spark names it."""
+    name = _arrow_name(folder)
+    return pafs.FileSystem.from_uri(name) if "://" in name else (pafs.LocalFileSystem(), name)
+
+
+def _arrow_name(folder: str) -> str:
+    """A folder's name in Arrow: local paths without a scheme; Hadoop's schemes for S3 are `s3`."""
+    scheme, mark, rest = folder.partition("://")
+    if mark and scheme != "file":
+        return f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}"
+    return "/" + folder.removeprefix("file:").lstrip("/") if folder.startswith("file:") else folder
 
 
 def write_archives(pages: DataFrame, folder: str, least: int = 1000, records_per_archive: int = 4096, bytes_per_archive: int = 16 << 20, sample_records: int = 256, sample_bytes: int = 16384, level: int = 3, broadcast_groups: int = 100_000) -> DataFrame:
