@@ -36,7 +36,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 2048 tokens, one row for each piece of a document."""
     # A smaller table of encoded words than for packing alone: the worker has served other stages before.
-    return packing.pack(docs, vocabulary_path(), words_kept=250_000)
+    return packing.pack(docs, vocabulary_path(), words_kept=100_000)
 
 
 STAGES = [("quality", keep_good), ("near-duplicates", one_of_each), ("repeats", without_repeats), ("packing", packed)]

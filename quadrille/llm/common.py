@@ -8,6 +8,7 @@ Python object for each word.
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -92,6 +93,16 @@ def make_room(operator: str) -> None:
     """Called where an operator starts in a worker: drop what other operators kept there."""
     for name in [n for n in _KEPT if n != operator]:
         _KEPT.pop(name)()
+    trim()
+
+
+def trim() -> None:
+    """Give memory that this worker process no longer uses back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def keeps(operator: str, drop: Callable[[], None]) -> None:
@@ -143,12 +154,12 @@ class Texts:
     def raw(self, i: int) -> bytes:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 
-    def chunks(self, most: int = 1 << 20):
-        """Ranges of texts of about `most` bytes each; a longer text is a range of its own."""
+    def chunks(self, most: int = 1 << 20, rows: int = 4096):
+        """Ranges of at most `rows` texts and about `most` bytes each; a longer text is a range of its own."""
         i = 0
         while i < self.n:
             j = int(np.searchsorted(self.offsets, self.offsets[i] + most, "right")) - 1
-            j = min(max(j, i + 1), self.n)
+            j = min(max(j, i + 1), i + rows, self.n)
             yield i, j
             i = j
 

@@ -44,7 +44,7 @@ from .common import U64
 
 SHINGLE, SLOTS, BANDED, ROWS = 5, 256, 128, 4  # bands are made of the first BANDED slots
 BLOCK, BLOCK_BYTES = 4096, 8 << 20  # nodes of a bucket, and bytes of their texts, that a task compares with as many others
-PAIRS = 1 << 18  # pairs of nodes compared at once
+PAIRS = 1 << 15  # pairs of nodes compared at once
 _GOLDEN = U64(0x9E3779B97F4A7C15)
 
 
@@ -112,9 +112,13 @@ def probability_jaccard(x: dict[int, int] | tuple, y: dict[int, int] | tuple) ->
     (a, p), (b, q) = ((np.array(sorted(v), np.uint64), np.array([v[k] for k in sorted(v)])) if isinstance(v, dict) else v for v in (x, y))
     if not len(a) or not len(b):
         return 0.0
-    both, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if not len(both):
+    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    j = np.flatnonzero(a[at] == b)
+    if not len(j):
         return 0.0
+    i = at[j]
+    if len(a) == p.sum() and len(b) == q.sum():  # all weights are 1: plain Jaccard
+        return len(j) / (len(a) + len(b) - len(j))
     u, v = p[i].astype(np.float64), q[j].astype(np.float64)
     only_x, only_y = p.sum() - u.sum(), q.sum() - v.sum()
     # For element i the sum over j of max(x_j / x_i, y_j / y_i): j with at least i's ratio x / y count by x, others by y.
@@ -154,6 +158,7 @@ _SIGNED = "__id long, __rk long, doc_id long, blank boolean, node long, size lon
 
 def _verify(least: float, rows: int = 256):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.make_room("minhash")
         for whole in batches:
             for start in range(0, whole.num_rows, rows):  # the shingles of a few hundred pairs at a time
                 batch = whole.slice(start, rows)
@@ -258,6 +263,7 @@ def _with_partners(most: int):
     """Rows of nodes that have a candidate in their group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.make_room("minhash")
         for group in common.groups(batches, _GROUP):
             marked = np.zeros(len(group), bool)
             for i, j, _ in _Open(group).candidates(most):
@@ -272,6 +278,7 @@ def _class_links(least: float, most: int):
     """Links (a, b) between classes, from groups of _OPEN rows with texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.make_room("minhash")
         for group in common.groups(batches, _GROUP):
             made = _Open(group)
             shingled = _weighted(common.Texts(group["text"]))

@@ -15,7 +15,10 @@ grow steeply with the cosine; the score is the weighted share of label 1.
 Only the text is an input of a score. Null is the empty text; a text without
 words has the score that a vote of the whole sample gives. Labels that are
 null take no part; a document with several labels counts with their mean,
-1 from one half upward. Labels without a document do nothing.
+1 from one half upward. Labels without a document do nothing. Of equally near
+neighbours those earlier in the sample vote (it is in the order of the ids'
+hashes), so equal texts have equal scores wherever they stand. Rows that repeat
+an id are scored one by one; in the sample each of them is a neighbour.
 """
 
 from __future__ import annotations
@@ -87,6 +90,26 @@ def features(texts: common.Texts, i: int, j: int) -> np.ndarray:
     return out
 
 
+BLOCK = 512  # rows that are multiplied at once
+
+
+def _same_shape(rows: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """rows @ by, always computed as a product of BLOCK rows, so that a row's result does not depend on the rows beside it."""
+    padded = np.zeros((BLOCK, rows.shape[1]), np.float32)
+    padded[: len(rows)] = rows
+    return (padded @ by)[: len(rows)]
+
+
+def nearest(cosines: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k largest values of each row, in ascending order of position; ties go to the earlier position."""
+    bound = np.partition(cosines, cosines.shape[1] - k, axis=1)[:, -k, None]
+    above = cosines > bound
+    ties = cosines == bound
+    free = k - above.sum(axis=1, keepdims=True)
+    chosen = above | (ties & (np.cumsum(ties, axis=1) <= free))
+    return np.nonzero(chosen)[1].reshape(len(cosines), k)
+
+
 @dataclass
 class Model:
     """idf weights, latent directions, and the sample's unit vectors with labels."""
@@ -99,25 +122,25 @@ class Model:
     sharpness: float
 
     def project(self, rows: np.ndarray) -> np.ndarray:
-        latent = (rows * self.weights) @ self.directions
+        latent = np.concatenate([_same_shape(rows[i : i + BLOCK] * self.weights, self.directions) for i in range(0, len(rows), BLOCK)]) if len(rows) else np.zeros((0, self.directions.shape[1]), np.float32)
         norm = np.linalg.norm(latent, axis=1, keepdims=True)
         return np.divide(latent, norm, out=np.zeros_like(latent), where=norm > 0)
 
-    def scores(self, rows: np.ndarray, block: int = 512) -> np.ndarray:
+    def scores(self, rows: np.ndarray) -> np.ndarray:
         out = np.full(len(rows), self.labels.mean() if len(self.labels) else 0.5)
         if not len(self.labels):
             return out
         latent = self.project(rows)
         k = min(self.neighbours, len(self.labels))
-        for start in range(0, len(rows), block):
-            part = latent[start : start + block]
-            cosines = part @ self.vectors.T
-            near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+        for start in range(0, len(rows), BLOCK):
+            part = latent[start : start + BLOCK]
+            cosines = _same_shape(part, self.vectors.T)
+            near = nearest(cosines, k)
             cos = np.take_along_axis(cosines, near, axis=1).astype(np.float64)
             # Relative to the nearest, so that the weights never vanish.
             weight = np.exp((cos - cos.max(axis=1, keepdims=True)) * self.sharpness)
             vote = (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
-            out[start : start + block] = np.where((part != 0).any(axis=1), vote, out[start : start + block])
+            out[start : start + BLOCK] = np.where((part != 0).any(axis=1), vote, out[start : start + BLOCK])
         return np.clip(out, 0.0, 1.0)
 
 
@@ -132,12 +155,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
         common.make_room("quality")
         for batch in batches:
             texts = common.Texts(batch.column(1))
-            for i, j in texts.chunks():
+            for i, j in texts.chunks(rows=BLOCK):
                 made = features(texts, i, j)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(2)[i:j], pa.array([r.tobytes() for r in made], pa.binary())], names=["doc_id", "y", "f"])
 
     found = texts.select("doc_id", "text", "y").mapInArrow(run, "doc_id long, y double, f binary")
-    kept = found.orderBy("doc_id", "f").limit(sample_rows).collect()
+    # Ids may be repeated in docs, so the bound is kept once more, in the same order.
+    kept = found.orderBy(F.xxhash64("doc_id"), "doc_id", "f").limit(sample_rows).collect()
     matrix = np.frombuffer(b"".join(bytes(r.f) for r in kept), np.float32).reshape(-1, WIDTH)
     y = np.array([r.y for r in kept])
     present = (matrix > 0).sum(axis=0)
@@ -154,15 +178,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
-    """docs with a column of scores; all other columns stay as they are."""
+    """docs with a column of scores, in the place of one of that name if there is one; all other columns stay as they are."""
+    if name in docs.columns and name != text_col:
+        docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # sample_rows x rank numbers
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.make_room("quality")
         model = shared.value
         for batch in batches:
             texts = common.Texts(batch.column(at))
-            found = [model.scores(features(texts, i, j)) for i, j in texts.chunks()]
+            found = [model.scores(features(texts, i, j)) for i, j in texts.chunks(rows=BLOCK)]
             scores = pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, name])
 

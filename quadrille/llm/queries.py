@@ -80,7 +80,7 @@ def op9_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = quality.remainder(F.col("doc_id"), 4) == 2
+    held_out = F.coalesce(quality.remainder(F.col("doc_id"), 4) == 2, F.lit(False))  # a row without an id is not held out
     model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
     scored = quality.score(docs, model)
     return scored.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))

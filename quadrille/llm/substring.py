@@ -119,6 +119,7 @@ def _windows(least: int, seed: int):
     """Windows of the listed runs (first, last, n) of each text, with how many places each stands for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.make_room("substring")
         for batch in batches:
             texts = common.Texts(batch.column("text"))
             ids, rks = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("__id", "__rk"))
@@ -173,6 +174,7 @@ def repeated_runs(keyed: DataFrame, least: int, seed: int) -> DataFrame:
 
 def _cut(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.make_room("substring")
         for batch in batches:
             counts, gone, digests, kept_texts = [], [], [], []
             for text, runs in zip(batch.column("__text"), batch.column("__runs")):
@@ -209,9 +211,11 @@ def remove_repeats(docs: DataFrame, least: int = 35, seed: int = 12, id_col: str
 
 def cut_repeats(docs: DataFrame, least: int = 35, seed: int = 12, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
     """docs with the repeats taken out of their texts (the words left, joined by spaces); texts that lose nothing stay as they are."""
-    found = remove_repeats(docs, least, seed, id_col, text_col, tuple(docs.columns))
-    text = F.coalesce(F.col("__kept"), F.col(text_col))
-    out = found.withColumn(text_col, text)
-    if size_col in docs.columns:
-        out = out.withColumn(size_col, F.when(F.col("__n_removed") > 0, F.length(text_col).cast(docs.schema[size_col].dataType)).otherwise(F.col(size_col)))
-    return out.select(*docs.columns)
+    names = dict(zip(docs.columns, inner := [f"c{k}" for k in range(len(docs.columns))]))  # whatever the columns are called
+    found = remove_repeats(docs.toDF(*inner), least, seed, names[id_col], names[text_col], tuple(inner))
+    text = names[text_col]
+    out = found.withColumn(text, F.coalesce(F.col("__kept"), F.col(text)))
+    if size_col in names:
+        size = names[size_col]
+        out = out.withColumn(size, F.when(F.col("__n_removed") > 0, F.length(text).cast(docs.schema[size_col].dataType)).otherwise(F.col(size)))
+    return out.select(*inner).toDF(*docs.columns)

@@ -116,6 +116,15 @@ def test_substring_dedup_equals_brute_force(spark, least, seed):
     assert sorted(map(str, ((r.doc_id, r["__n_words"], r["__n_removed"], r["__sha256"]) for r in got))) == sorted(map(str, brute_repeats(rows, least)))
 
 
+def test_clashing_names(spark):
+    rows = [(1, "a b c d e f g", 1), (2, "a b c d e f g", 2), (3, "x y z", 3), (3, "x y z", 3)]
+    docs = spark.createDataFrame([(*r, *"pqrst") for r in rows], "doc_id long, text string, __id long, __rk string, __text string, __runs string, __kept string, keep string")
+    cut = substring.cut_repeats(docs, 5, 3)
+    assert cut.columns == docs.columns and sorted((r.doc_id, r.text, r["__id"], r["__kept"]) for r in cut.collect()) == [(1, "", 1, "s"), (2, "", 2, "s"), (3, "x y z", 3, "s"), (3, "x y z", 3, "s")]
+    kept = minhash.keep_one(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id, r["__id"], r.keep) for r in kept.collect()) == [(1, 1, "t"), (3, 3, "t")]
+
+
 def test_substring_cut_keeps_rows_and_columns(spark):
     docs = frame(spark, corpus())
     cut = substring.cut_repeats(docs)
@@ -150,6 +159,27 @@ def test_warc_round_trip(spark, tmp_path):
     assert len(list(warc.read_archive(data))) == done[0].records
 
 
+def test_warc_of_many_and_long_records(spark, tmp_path):
+    import time
+
+    # Reading is linear in the archive: ten times the records in about ten times the time.
+    archives = [warc.dictionary_frame(b"") + b"".join(__import__("zstandard").ZstdCompressor().compress(warc.build_record(k, "http://a/", bytes(str(k), "ascii") * 400, None, False)) for k in range(n)) for n in (400, 4000)]
+    took = []
+    for data, n in zip(archives, (400, 4000)):
+        start = time.perf_counter()
+        assert sum(1 for _ in warc.read_archive(data)) == n
+        took.append(time.perf_counter() - start)
+    assert took[1] < 1.0 and took[1] < 40 * max(took[0], 0.005)
+    with pytest.raises(ValueError):
+        list(warc.read_archive(archives[0][:-5]))
+    long = "é" * 3_000_000 + "end"
+    pages = spark.createDataFrame([(1, "u", long, "x", 5), (2, "u", "short", "y", 6)], "page_id long, url string, html string, payload string, refers_to int")
+    warc.write_archives(pages, str(tmp_path / "w"), bytes_per_archive=1000).collect()
+    got = {r.page_id: bytes(r.payload).decode() for r in warc.read_archives(spark, str(tmp_path / "w")).collect()}
+    assert got == {1: long, 2: "short"}
+    assert [warc._arrow_name(x) for x in ("s3a://b/x", "gs://b/x", "file:///tmp/x", "file:/tmp/x", "/tmp/x")] == ["s3://b/x", "gs://b/x", "/tmp/x", "/tmp/x", "/tmp/x"]
+
+
 def test_warc_without_pages(spark, tmp_path):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archives(empty, str(tmp_path / "w")).collect()
@@ -239,6 +269,28 @@ def test_near_duplicates_in_a_family_of_many_open_nodes(spark, monkeypatch):
     assert len(got) == len(rows) and right == len(rows)
 
 
+def test_near_duplicates_in_a_bucket_of_over_a_thousand_nodes(spark):
+    """Against all pairs: families of several classes each, all on one template."""
+    rows = family(520, own=2, single=6, shared=52)
+    sets = [set(zip(*(t.split()[k:] for k in range(5)))) for _, t in rows]
+    # Shingles occur once, so the similarity is plain Jaccard; alike within a couple, less across.
+    assert len(sets[0] & sets[1]) / len(sets[0] | sets[1]) >= 0.8 > len(sets[0] & sets[2]) / len(sets[0] | sets[2])
+    assert all(len(sets[i] & sets[j]) == 48 for i in range(0, 1040, 37) for j in range(1, 1040, 41) if i // 2 != j // 2)
+    got = minhash.near_duplicates(frame(spark, rows)).collect()
+    assert len(got) == 1040 and all(r.class_id == r.doc_id // 2 * 2 and r.class_size == 2 for r in got)
+
+
+def test_groups_of_sorted_batches():
+    import pyarrow as pa
+
+    keys = sorted(random.Random(1).choices(range(12), k=100))
+    table = pa.table({"a": keys, "b": list(range(100))})
+    for size in (1, 3, 7, 100):
+        got = [(g["a"][0].as_py(), g["b"].to_pylist()) for g in common.groups(iter(table.to_batches(max_chunksize=size)), ["a"])]
+        assert got == [(k, [i for i, x in enumerate(keys) if x == k]) for k in sorted(set(keys))]
+    assert list(common.groups(iter([]), ["a"])) == []
+
+
 def test_short_signatures_follow_the_least_similarity():
     assert minhash.far(0.8) == 80
     for least in (0.6, 0.7, 0.8, 0.9):
@@ -430,20 +482,35 @@ def test_url_rules(spark):
     assert urlrank.judge(df.limit(0), URL_RULES).count() == 0
 
 
+def test_equally_long_rules(spark):
+    df = spark.createDataFrame([(1, "http://a.org/x", None), (1, "http://a.org/x", None)], "page_id long, url string, html string")
+    for rules in ([("allow", "a.org", "/x"), ("block", "a.org", "/x")], [("block", "a.org", "/x"), ("allow", "a.org", "/x")]):
+        assert [r.verdict for r in urlrank.judge(df, rules).collect()] == ["block", "block"]
+
+
 def test_trust_and_distrust_spread(spark):
     edges = [("good", "friend", 1), ("friend", "far", 1), ("shady", "bad", 3), ("shadier", "shady", 1), ("mixed", "bad", 1), ("good", "mixed", 5)]
-    seeds = spark.createDataFrame([("good", 1.0, 0.0), ("bad", 0.0, 1.0)], "host string, s double, b double")
-    got = {r.host: r for r in urlrank.propagate(seeds, spark.createDataFrame(edges, "src string, dst string, links long"), rounds=12).collect()}
+    seeds = spark.createDataFrame([("good", 1.0, 0.0), ("bad", 0.0, 1.0), ("alone", 0.5, 0.0)], "host string, s double, b double")
+    graph = spark.createDataFrame(edges, "src string, dst string, links long")
+    got = {r.host: r for r in urlrank.propagate(seeds, graph, rounds=12).collect()}
     back, out = Counter(), Counter()
     for a, b, n in edges:
         out[a] += n
         back[b] += n
-    hosts = {x for e in edges for x in e[:2]}
-    t, d = ({h: float(h == s) for h in hosts} for s in ("good", "bad"))
-    t0, d0 = dict(t), dict(d)
+    hosts = {x for e in edges for x in e[:2]} | {"alone"}
+    t0, d0 = {h: {"good": 1.0, "alone": 0.5}.get(h, 0.0) for h in hosts}, {h: float(h == "bad") for h in hosts}
+    t, d = dict(t0), dict(d0)
     for _ in range(12):
-        t, d = ({h: t0[h] + 0.85 * sum(t[a] * n / out[a] for a, b, n in edges if b == h) for h in hosts}, {h: d0[h] + 0.85 * sum(d[b] * n / back[b] for a, b, n in edges if a == h) for h in hosts})
+        st, sd = sum(t[h] for h in hosts if not out[h]), sum(d[h] for h in hosts if not back[h])
+        t, d = (
+            {h: 0.15 * t0[h] + 0.85 * (sum(t[a] * n / out[a] for a, b, n in edges if b == h) + st * t0[h] / 1.5) for h in hosts},
+            {h: 0.15 * d0[h] + 0.85 * (sum(d[b] * n / back[b] for a, b, n in edges if a == h) + sd * d0[h]) for h in hosts},
+        )
     assert all(math.isclose(got[h].trust, t[h], abs_tol=1e-12) and math.isclose(got[h].distrust, d[h], abs_tol=1e-12) for h in hosts)
+    settled = urlrank.propagate(seeds, graph).collect()
+    assert math.isclose(sum(r.trust for r in settled), 1.5) and math.isclose(sum(r.distrust for r in settled), 1.0)
+    more = {r.host: r for r in urlrank.propagate(seeds, graph, tolerance=1e-9).collect()}
+    assert all(abs(r.trust - more[r.host].trust) < 1e-3 for r in settled)
     pages = [(1, "http://x.org/1", '<a href="http://friend.net/a">'), (2, "http://friend.net/", "<a href='//far.net/'>"), (3, "http://shady.net/", "<a HREF=http://bad.com/de/1>"), (4, "http://bad.com/de/2", ""), (5, "http://far.net/", None), (6, "http://alone.net/", '<a href="/own">')]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     verdict = {r.host: r.verdict for r in urlrank.judge(df, URL_RULES).collect()}
@@ -456,13 +523,44 @@ def test_trust_and_distrust_spread(spark):
 def test_multiset_hash(spark):
     rows = [(1, "one.\ntwo. three\nfour"), (2, "four\none.\nthree\ntwo."), (3, "one.\ntwo. three"), (4, ""), (5, None), (6, "one.\none.\ntwo."), (7, "four")]
     prints = {r.doc_id: r.fingerprint for r in multiset.fingerprint(frame(spark, rows)).collect()}
+    assert all(len(v) == 1 + multiset.LONGS + multiset.WIDE for v in prints.values()) and prints[7][-1] > 0
     assert prints[1] == prints[2] and prints[4] == prints[5] and set(prints[4]) == {0}
     assert len({tuple(v) for v in prints.values()}) == 5
     pair = spark.createDataFrame([(prints[3], prints[7], prints[1])], "a array<long>, b array<long>, c array<long>")
     r = pair.select(multiset.combine(F.col("a"), F.col("b")).alias("sum"), multiset.combine(F.col("c"), F.col("b"), -1).alias("less")).first()
     assert r["sum"] == prints[1] and r["less"] == prints[3]
-    many = frame(spark, [(1, "\n".join("p" for _ in range(70000)))])
-    assert multiset.fingerprint(many).first().fingerprint[0] == 70000
+    # The lanes are sums of one paragraph's lanes; wide ones modulo 2**32.
+    many, one = (multiset.fingerprint(frame(spark, [(1, "\n".join("p" for _ in range(n)))])).first().fingerprint for n in (70000, 1))
+    assert many[0] == 70000 and max(one[-multiset.WIDE :]) > 1 << 24
+    assert many[-multiset.WIDE :] == [x * 70000 % (1 << 32) for x in one[-multiset.WIDE :]]
+    assert many[1 : 1 + multiset.LONGS] == [x * 70000 for x in one[1 : 1 + multiset.LONGS]]
+
+
+def test_multiset_fingerprints_of_edits_equal_those_of_the_edited_texts(spark):
+    rows = [(i, t) for i, t in corpus(seed=21) if i is not None and i < 905]
+    got = {r.doc_id: r for r in multiset.fingerprint_edits(frame(spark, rows)).collect()}
+    ordered = sorted(((i, t or "") for i, t in rows), key=lambda x: x[0])
+    edited = [(i, t[: len(t) - len(t) // 4] + ordered[(k + 1) % len(ordered)][1][: len(t) // 4]) for k, (i, t) in enumerate(ordered)]
+    as_text = lambda f: ".".join(format(x & (1 << 64) - 1, "x") for x in f)
+    own, other = ({r.doc_id: r.fingerprint for r in multiset.fingerprint(frame(spark, x)).collect()} for x in (rows, edited))
+
+    def likeness(f, g):  # from the definition
+        if f == g:
+            return 1.0
+        x, y = (np.array([v for w in p[1 : 1 + multiset.LONGS] for v in (2 * (w & 0xFFFFFFFF) - p[0], 2 * ((w >> 32) & 0xFFFFFFFF) - p[0])], float) for p in (f, g))
+        return float(np.clip(x @ y / np.sqrt((x @ x) * (y @ y)), 0, 1)) if (x @ x) * (y @ y) else 0.0
+
+    for k, (i, _) in enumerate(ordered):
+        assert got[i].fingerprint == as_text(own[i]) and got[i].edited_fingerprint == as_text(other[i])
+        follows = ordered[(k + 1) % len(ordered)][0]
+        assert math.isclose(got[i].near_edited, likeness(own[i], other[i]), abs_tol=1e-9) and math.isclose(got[i].near_next, likeness(own[i], own[follows]), abs_tol=1e-9)
+
+
+def test_multiset_in_many_ranges(spark, monkeypatch):
+    rows = corpus(seed=22)
+    whole = {(r.doc_id, r.edited_sha256, r.near_next) for r in multiset.fingerprint_edits(frame(spark, rows)).collect()}
+    monkeypatch.setattr(multiset, "RANGE_BYTES", 1000)
+    assert {(r.doc_id, r.edited_sha256, r.near_next) for r in multiset.fingerprint_edits(frame(spark, rows)).collect()} == whole
 
 
 def test_multiset_edits(spark):
@@ -590,5 +688,48 @@ def test_quality_votes(spark):
     assert all((r.score >= 0.7) == bool(r.doc_id % 3) for r in got if r.doc_id is not None and r.doc_id < 300)
     assert len({r.score for r in got if r.doc_id in (900, 901)}) == 1
     assert quality.score(docs.limit(0), model).count() == 0
+    # By brute force: every cosine, neighbours one by one, ties to the earlier.
+    import pyarrow as pa
+
+    for r in got[::17]:
+        row = quality.features(common.Texts(pa.array([r.text], pa.string())), 0, 1)
+        near = (model.project(row)[0].astype(np.float64) @ model.vectors.T.astype(np.float64)).round(6)
+        chosen = sorted(range(len(near)), key=lambda i: (-near[i], i))[: model.neighbours]
+        weight = np.exp((near[chosen] - near[chosen].max()) * model.sharpness)
+        if (model.project(row) != 0).any() and len(set(near[chosen])) == len(chosen):
+            assert abs(r.score - (weight * model.labels[chosen]).sum() / weight.sum()) < 1e-3
+    clash = docs.withColumn("score", F.lit("mine")).withColumn("y", F.lit(1))
+    assert quality.score(clash, model).schema["score"].dataType.typeName() == "double"
     unlabelled = quality.fit(docs, labels.limit(0), F.lit(True))
     assert {r.score for r in quality.score(docs, unlabelled).collect()} == {0.5}
+
+
+def test_neighbours_and_their_ties():
+    rnd = np.random.default_rng(1)
+    cosines = rnd.integers(0, 6, (200, 40)).astype(np.float32)
+    for k in (1, 5, 40):
+        want = [sorted(sorted(range(40), key=lambda i: (-row[i], i))[:k]) for row in cosines]
+        assert quality.nearest(cosines, k).tolist() == want
+
+
+def test_scores_do_not_depend_on_the_batch():
+    import pyarrow as pa
+
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice(["the", "river", "BUY", "$$$", "stones"]) for _ in range(rnd.randint(1, 60))) for _ in range(700)]
+    rows = quality.features(common.Texts(pa.array(texts)), 0, len(texts))
+    _, _, v = np.linalg.svd(rows, full_matrices=False)
+    model = quality.Model(np.ones(rows.shape[1], np.float32), v[:16].T.astype(np.float32), np.zeros((0, 16), np.float32), np.arange(700) % 2, 9, 30.0)
+    model.vectors = model.project(rows)
+    whole = model.scores(rows)
+    for size in (1, 3, 100, 513):
+        assert np.array_equal(np.concatenate([model.scores(rows[i : i + size]) for i in range(0, 700, size)]), whole)
+
+
+@pytest.mark.skipif(not __import__("os").path.exists("/root/testdata/sf0.01/labels.parquet"), reason="no tables")
+def test_quality_of_held_out_documents(spark):
+    from quadrille.llm import queries
+
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality")
+    got = queries.op9_quality_votes(spark, "/root/testdata/sf0.01").where("held_out").join(labels, "doc_id").where("quality is not null").toPandas()
+    assert len(got) > 30 and (got.predicted == got.quality).mean() >= 0.95
