@@ -151,6 +151,13 @@ class Texts:
         self.offsets = np.frombuffer(offsets, np.int64)[array.offset : array.offset + self.n + 1] if self.n else np.zeros(1, np.int64)
         self.data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
 
+    @classmethod
+    def of(cls, data: bytes, offsets: np.ndarray) -> Texts:
+        """Texts that lie one after the other in a buffer."""
+        made = cls.__new__(cls)
+        made.n, made.offsets, made.data = len(offsets) - 1, offsets.astype(np.int64), np.frombuffer(data, np.uint8)
+        return made
+
     def raw(self, i: int) -> bytes:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 

@@ -1,27 +1,30 @@
 """Operator 8: language-model scores from a log-frequency Bloom filter.
 
-Counting. Tasks count words and word pairs of chunks of the training texts and
-send them on packed by hash range; a range adds up its counts. All counts are
-over the whole training corpus.
+Counting. Tasks count words, pairs and triples of words in chunks of the texts
+and send them on packed by hash range; a range adds up the counts of the
+training texts. All counts are over the whole training corpus.
 
 Filter. A count is quantised to a level, 1 + floor(log(count / least) / log(base)),
 and an entry is stored once for each level up to its own, so a lookup probes
 level 1, 2, ... until one is missing, and the last one found gives the mean
 count of its level. Every hash range has a segment of its own, which is sized by
 the range's entries, built where its counts are and probed there: chunks of texts
-ask every range for the words and pairs they hold and get levels back. All words
-and pairs enter, those seen once as well, and the filter grows with the input.
-
-A caller may bound the filter instead (`filter_bits`): it is broadcast then, and
-entries of small counts (pairs seen once, and more when the bits do not suffice)
-are left to the smoothing, by one threshold for each order, chosen from the
-histogram of all counts.
-
-Model. P(w | h) = (1 - l) P1(w) + l c(h w) / c(h), where P1 is the additive
-unigram model and l depends on the level of c(h). The weights l are fitted on
-all training texts, each token with its own occurrence taken out, from a
-histogram of the ratio of both estimates. Words are lower-cased (A-Z); a text
-is its words and one end token; the first word follows an end token.
+ask every range for the words, pairs and triples they hold and get levels back.
+All of them enter, those seen once as well, and the filter grows with the input.
+Within its range an entry is named by 40 bits more.
+
+A caller may bound the filter instead (`filter_bits`): it holds words and pairs
+and is broadcast then, and entries of small counts (pairs seen once, and more
+when the bits do not suffice) are left to the smoothing, by one threshold for
+each order, chosen from the histogram of all counts.
+
+Model. P(w | v) = (1 - l) P1(w) + l c(v w) / c(v), where P1 is the additive
+unigram model and l depends on the level of c(v). P(w | u v) interpolates
+c(u v w) / c(u v) with P(w | v) in the same way. The weights are fitted on all
+training texts, order by order, each token with its own occurrence taken out,
+from a histogram of the ratio of both estimates. Words are lower-cased (A-Z); a
+text is its words and one end token; the first word follows an end token, and
+has no longer context.
 
 Base score. Exact counts, which come back with the levels. With a bounded filter
 those of frequent words (at most `head` of them) are broadcast, and those of all
@@ -29,6 +32,7 @@ other words are joined by hash.
 
 Null is the empty text, which is its end token alone. A row without an id is
 a training row. Rows that repeat id and text are scored and counted one by one.
+Only id and text of a row are read. A text longer than a chunk is a chunk.
 """
 
 from __future__ import annotations
@@ -39,6 +43,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +53,7 @@ from .common import U64
 
 END = U64(0x5851F42D4C957F2D)
 _PAIR = U64(0x2545F4914F6CDD1D)
+_TRIPLE = U64(0x9FB21C651E98DF25)
 _GOLDEN = U64(0x9E3779B97F4A7C15)
 CHUNK = 8 << 20
 LEVELS, RATIOS = 64, 64
@@ -73,6 +79,42 @@ def pairs(before: np.ndarray, token: np.ndarray) -> np.ndarray:
     return common.mix(before * _PAIR + token)
 
 
+def triples(before: np.ndarray, token: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, hashes) of all tokens but the first of each text, with the two tokens before."""
+    inner = np.ones(len(token), bool)
+    inner[offsets[:-1]] = False
+    at = np.flatnonzero(inner)
+    return at, common.mix(pairs(before[at - 1], before[at]) * _TRIPLE + token[at])
+
+
+def placed(hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The range (of n) of each hash, and its name there: the upper 40 bits of what is left. Both ascend as the hashes do."""
+    wide = U64(n)
+    high = (hashes >> U64(32)) * wide + (((hashes & U64(0xFFFFFFFF)) * wide) >> U64(32))
+    return (high >> U64(32)).astype(np.int64), (hashes * wide) >> U64(24)
+
+
+def pack(names: np.ndarray) -> bytes:
+    """Ascending names of 40 bits: their differences, byte by byte of equal weight, compressed."""
+    steps = np.diff(names, prepend=U64(0)).astype("<u8")
+    return _squeeze(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :5].T).tobytes())
+
+
+def unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(_spread(data), np.uint8).reshape(5, -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, :5] = planes.T
+    return np.cumsum(steps.view("<u8")[:, 0].astype(U64), dtype=U64)
+
+
+def _squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _spread(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def ranges(hashes: np.ndarray, n: int) -> np.ndarray:
     return (((hashes >> U64(40)) * U64(n)) >> U64(24)).astype(np.int64)
 
@@ -373,36 +415,53 @@ def _above(least: int):
 # ---------------------------------------------------------------- the whole filter, by hash range
 
 
-_CHUNKS = "chunk long, doc_ids array<long>, held array<boolean>, texts array<string>"
+ORDERS = 3
+_CHUNKS = "chunk long, doc_ids array<long>, held array<boolean>, data binary, offsets binary"
 
 
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, held, text) as one row for each chunk of texts."""
+    """Rows (doc_id, held, text) as one row for each chunk of texts, compressed."""
+    common.make_room("lm")
     chunk = TaskContext.get().partitionId() << 32
     for batch in batches:
-        for i, j in common.Texts(batch.column("text")).chunks(CHUNK // 2):
+        texts = common.Texts(batch.column("text"))
+        for i, j in texts.chunks(CHUNK // 2, rows=1 << 16):
             ends = pa.array([0, j - i], pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, batch.column(k)[i:j]) for k in ("doc_id", "held", "text")]
-            yield pa.RecordBatch.from_arrays([pa.array([chunk]), *lists], names=["chunk", "doc_ids", "held", "texts"])
+            lists = [pa.ListArray.from_arrays(ends, batch.column(k)[i:j]) for k in ("doc_id", "held")]
+            lo, hi = texts.offsets[i], texts.offsets[j]
+            data = zstandard.ZstdCompressor(level=3).compress(texts.data[lo:hi].tobytes())
+            offsets = _squeeze((texts.offsets[i : j + 1] - lo).astype("<i8").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([chunk]), *lists, pa.array([data], pa.binary()), pa.array([offsets], pa.binary())], names=["chunk", "doc_ids", "held", "data", "offsets"])
             chunk += 1
 
 
-_ASKED = "kind int, bucket int, chunk long, hashes binary, counts binary"
+def _texts_of(data: pa.Scalar, offsets: pa.Scalar) -> common.Texts:
+    return common.Texts.of(_spread(data.as_py()), np.frombuffer(_spread(offsets.as_py()), "<i8"))
+
+
+def _orders(texts: common.Texts) -> tuple[np.ndarray, list[tuple[np.ndarray | None, np.ndarray]]]:
+    """Text offsets in tokens, and for each order the positions (None: all) and hashes of its entries."""
+    token, before, offsets = tokens(texts, 0, texts.n)
+    return offsets, [(None, token), (None, pairs(before, token)), triples(before, token, offsets)]
+
+
+_ASKED = "kind int, bucket int, chunk long, names binary, counts binary"
 
 
 def _ask(buckets: int):
-    """The distinct words and pairs of each chunk by hash range, with their counts in its training texts."""
+    """The distinct words, pairs and triples of each chunk by hash range, with their counts in its training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.make_room("lm")
         for batch in batches:
             for k in range(batch.num_rows):
-                texts = common.Texts(batch.column("texts")[k].values)
-                token, before, offsets = tokens(texts, 0, texts.n)
+                offsets, orders = _orders(_texts_of(batch.column("data")[k], batch.column("offsets")[k]))
                 held = batch.column("held")[k].values.to_numpy(zero_copy_only=False)
                 learnt = np.repeat(~held.astype(bool), np.diff(offsets)).astype(np.int64)
-                for kind, keys in ((0, token), (1, pairs(before, token))):
-                    h, n = add_up(keys, learnt)
-                    cut = np.searchsorted(ranges(h, buckets), np.arange(buckets + 1))
+                for kind, (at, keys) in enumerate(orders):
+                    h, n = add_up(keys, learnt if at is None else learnt[at])
+                    bucket, name = placed(h, buckets)
+                    cut = np.searchsorted(bucket, np.arange(buckets + 1))
                     some = np.flatnonzero(np.diff(cut))
                     n = n.astype("<u4")
                     spans = [(cut[b], cut[b + 1]) for b in some]
@@ -410,29 +469,34 @@ def _ask(buckets: int):
                         [
                             pa.array(np.full(len(some), kind, np.int32)),
                             pa.array(some.astype(np.int32)),
-                            pa.array(np.full(len(some), batch.column("chunk")[k].as_py())),
-                            pa.array([h[a:b].tobytes() for a, b in spans], pa.binary()),
-                            pa.array([n[a:b].tobytes() for a, b in spans], pa.binary()),
+                            pa.array(np.full(len(some), batch.column("chunk")[k].as_py(), np.int64)),
+                            pa.array([pack(name[a:b]) for a, b in spans], pa.binary()),
+                            pa.array([_squeeze(n[a:b].tobytes()) for a, b in spans], pa.binary()),
                         ],
-                        names=["kind", "bucket", "chunk", "hashes", "counts"],
+                        names=["kind", "bucket", "chunk", "names", "counts"],
                     )
 
     return run
 
 
+def _set(data: np.ndarray, spots: np.ndarray) -> None:
+    """Set bits of a byte array, the lowest of a byte first."""
+    for bit in range(8):
+        data[spots[(spots & 7) == bit] >> 3] |= np.uint8(1 << bit)
+
+
 def segment(h: np.ndarray, n: np.ndarray) -> Model:
     """The filter of one hash range, with room for every entry."""
     shape = Shape(1, (64, 64), (1, 1))
     level = shape.level(n, 0)
     bits = max(64, math.ceil(shape.probes * int(level.sum()) / SPARSE / 64) * 64)
     shape.bits = (bits, bits)
-    flags = np.zeros(bits, np.uint8)
+    data = np.zeros(bits // 8, np.uint8)
     for k in range(1, int(level.max()) + 1 if len(level) else 0):
         for spot in shape.spots(h[level >= k], k, 0):
-            flags[spot.astype(np.int64)] = 1
+            _set(data, spot.astype(np.int64))
     sums = np.bincount(level, weights=n, minlength=LEVELS)[:LEVELS]
     sizes = np.bincount(level, minlength=LEVELS)[:LEVELS]
-    data = np.packbits(flags, bitorder="little")
     return Model(shape, (data, data), np.array([sums, sizes]), int(n.sum()), len(n), (h[:0], n[:0]), 1)
 
 
@@ -441,61 +505,91 @@ _ANSWERED = "kind int, bucket int, chunk long, levels binary, counts binary, dis
 
 def _answer(table: pa.Table) -> pa.Table:
     """A hash range: counts added up, the segment built, and the levels of each chunk's entries; one more row (without chunk) sums up."""
-    hashes = [np.frombuffer(x, U64) for x in table["hashes"].to_pylist()]
-    every = np.concatenate(hashes)
-    h, n = add_up(every, np.frombuffer(b"".join(table["counts"].to_pylist()), "<u4").astype(np.int64))
+    common.make_room("lm")
+    names = [unpack(x) for x in table["names"].to_pylist()]
+    h, n = add_up(np.concatenate(names), np.concatenate([np.frombuffer(_spread(x), "<u4") for x in table["counts"].to_pylist()]).astype(np.int64))
     made = segment(h[n > 0], n[n > 0])
     level = made.levels(h, 0)
     kind, bucket, rows = table["kind"][0].as_py(), table["bucket"][0].as_py(), table.num_rows
-    at = [np.searchsorted(h, x) for x in hashes]
-    counts = [n[x].astype("<i8").tobytes() if kind == 0 else None for x in at]
-    columns = [[kind] * (rows + 1), [bucket] * (rows + 1), [*table["chunk"].to_pylist(), None], [*(level[x].tobytes() for x in at), None], [*counts, None]]
+    levels, counts = [], []
+    for x in names:
+        at = np.searchsorted(h, x)
+        levels.append(_squeeze(level[at].tobytes()))
+        counts.append(_squeeze(n[at].astype("<i8").tobytes()) if kind == 0 else None)
+    columns = [[kind] * (rows + 1), [bucket] * (rows + 1), [*table["chunk"].to_pylist(), None], [*levels, None], [*counts, None]]
     columns += [[None] * rows + [x] for x in (made.distinct, made.total, made.means[0].tolist(), made.means[1].astype(np.int64).tolist())]
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64())]
     return pa.table([pa.array(x, t) for x, t in zip(columns, kinds)], names=[c.split()[0] for c in _ANSWERED.split(", ")])
 
 
-_LEVELLED = "doc_id long, held boolean, n_tokens long, n_known long, base double, words binary, pairs binary"
+_LEVELLED = "doc_id long, held boolean, n_tokens long, n_known long, base double, words binary, pairs binary, triples binary"
 
 
 def _level(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-    """One row for each text of a chunk: sums over exact counts, and the levels of its tokens and pairs."""
+    """One row for each text of a chunk: sums over exact counts, and the levels of its tokens, pairs and triples."""
+    common.make_room("lm")
     answers = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
     kind = answers["kind"].to_numpy()
-    levels = answers["levels"].to_pylist()
+    levels = answers["levels"]
     # Ranges ascend as hashes do, so that the answers stand in the order of the chunk's distinct hashes.
-    word, pair = (np.frombuffer(b"".join(levels[k] for k in np.flatnonzero(kind == x)), np.int8) for x in (0, 1))
-    count = np.frombuffer(b"".join(answers["counts"].to_pylist()[k] for k in np.flatnonzero(kind == 0)), "<i8")
-    ids, held, texts = (chunk[k].combine_chunks()[0].values for k in ("doc_ids", "held", "texts"))
-    texts = common.Texts(texts)
-    token, before, offsets = tokens(texts, 0, texts.n)
-    _, place = np.unique(token, return_inverse=True)
-    _, pair_place = np.unique(pairs(before, token), return_inverse=True)
-    word, pair, count = word[place], pair[pair_place], count[place]
+    found = [np.frombuffer(b"".join(_spread(levels[k].as_py()) for k in np.flatnonzero(kind == x).tolist()), np.int8) for x in range(ORDERS)]
+    count = np.frombuffer(b"".join(_spread(answers["counts"][k].as_py()) for k in np.flatnonzero(kind == 0).tolist()), "<i8")
+    ids, held = (chunk[k].combine_chunks()[0].values for k in ("doc_ids", "held"))
+    offsets, orders = _orders(_texts_of(chunk["data"][0], chunk["offsets"][0]))
+    out = []
+    for order, (at, keys) in enumerate(orders):
+        place = np.unique(keys, return_inverse=True)[1]
+        if at is None:
+            out.append(found[order][place])
+        else:
+            out.append(np.zeros(offsets[-1], np.int8))
+            out[-1][at] = found[order][place]
+        if order == 0:
+            count = count[place]
     cut = offsets[:-1]
-    spans = list(zip(offsets[:-1], offsets[1:]))
+    spans = list(zip(offsets[:-1].tolist(), offsets[1:].tolist()))
     columns = [ids, held, np.diff(offsets), np.add.reduceat((count > 0).astype(np.int64), cut), np.add.reduceat(np.log10(count + 0.1), cut)]
-    columns += [pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (word, pair)]
+    columns += [pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in out]
     return pa.table(columns, names=[c.split()[0] for c in _LEVELLED.split(", ")])
 
 
-def _looked_up(batch: pa.RecordBatch, means: np.ndarray, scale: float) -> tuple:
-    """(P1, the pair's count, the context's count and level) of the tokens of a batch's texts, and text offsets."""
-    word, pair = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.int8) for k in ("words", "pairs"))
+@dataclass
+class Looked:
+    """What is known of the tokens of a batch's texts: P1, and for the orders two and three the entry's and the context's count and the context's level."""
+
+    p1: np.ndarray
+    two: tuple[np.ndarray, np.ndarray, np.ndarray]
+    three: tuple[np.ndarray, np.ndarray, np.ndarray]
+    offsets: np.ndarray
+
+
+def _looked_up(batch: pa.RecordBatch, means: np.ndarray, scale: float) -> Looked:
+    word, pair, triple = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.int8) for k in ("words", "pairs", "triples"))
     offsets = np.concatenate([[0], np.cumsum(batch.column("n_tokens").to_numpy())])
-    level = np.empty_like(word)
-    level[1:] = word[:-1]
-    level[offsets[:-1]] = word[offsets[1:] - 1]  # before a text's first token is an end, as at its own end
-    return (means[0][word] + 0.1) / scale, means[1][pair], means[0][level], level, offsets
+    single = np.empty_like(word)
+    single[1:] = word[:-1]
+    single[offsets[:-1]] = word[offsets[1:] - 1]  # before a text's first token is an end, as at its own end
+    double = np.empty_like(word)
+    double[1:] = pair[:-1]
+    double[offsets[:-1]] = 0  # a text's first token has no longer context
+    return Looked((means[0][word] + 0.1) / scale, (means[1][pair], means[0][single], single), (means[2][triple], means[1][double], double), offsets)
+
+
+def mixed(lower: np.ndarray, entry: np.ndarray, context: np.ndarray, level: np.ndarray, weights: np.ndarray, own: int = 0) -> np.ndarray:
+    """(1 - l) lower + l entry / context; own: occurrences that are taken out of both counts."""
+    weight = np.where(context > own, weights[level], 0.0)
+    return (1 - weight) * lower + weight * np.minimum(1.0, np.maximum(0.0, entry - own) / np.maximum(1.0, context - own))
+
 
+def _calibrate_levels(means: np.ndarray, scale: float, weights: np.ndarray | None):
+    """Histograms for the weights of order two or, where those are given, of order three."""
 
-def _calibrate_levels(means: np.ndarray, scale: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((LEVELS, RATIOS), np.int64)
         for batch in batches:
             for i in range(0, batch.num_rows, 1000):
-                p1, pair, context, level, _ = _looked_up(batch.slice(i, 1000), means, scale)
-                counts += _ratios(p1, pair, context, level, 1)
+                x = _looked_up(batch.slice(i, 1000), means, scale)
+                counts += _ratios(x.p1, *x.two, 1) if weights is None else _ratios(mixed(x.p1, *x.two, weights, 1), *x.three, 1)
         yield _binned(counts)
 
     return run
@@ -504,17 +598,16 @@ def _calibrate_levels(means: np.ndarray, scale: float):
 _WHOLE = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score_levels(means: np.ndarray, scale: float, total: int, weights: np.ndarray):
+def _score_levels(means: np.ndarray, scale: float, total: int, weights: list[np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, 1000):
                 batch = whole.slice(i, 1000)
-                p1, pair, context, level, offsets = _looked_up(batch, means, scale)
-                weight = np.where(context > 0, weights[level], 0.0)
-                logs = np.log10((1 - weight) * p1 + weight * np.minimum(1.0, pair / np.maximum(1.0, context)))
-                base = batch.column("base").to_numpy() - np.diff(offsets) * math.log10(scale)
+                x = _looked_up(batch, means, scale)
+                logs = np.log10(mixed(mixed(x.p1, *x.two, weights[0]), *x.three, weights[1]))
+                base = batch.column("base").to_numpy() - np.diff(x.offsets) * math.log10(scale)
                 columns = [batch.column(k) for k in ("doc_id", "held", "n_tokens", "n_known")]
-                columns += [pa.array(np.full(batch.num_rows, total)), pa.array(base), pa.array(np.add.reduceat(logs, offsets[:-1]))]
+                columns += [pa.array(np.full(batch.num_rows, total)), pa.array(base), pa.array(np.add.reduceat(logs, x.offsets[:-1]))]
                 yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _WHOLE.split(", ")])
 
     return run
@@ -528,7 +621,7 @@ def _score_whole(docs: DataFrame, held_out: Column, id_col: str, text_col: str)
     sums = answered.where("chunk is null")
     of = {r.kind: r for r in sums.groupBy("kind").agg(F.sum("distinct").alias("distinct"), F.sum("total").alias("total")).collect()}
     by_level = sums.select("kind", F.posexplode(F.arrays_zip("sums", "sizes")).alias("level", "s")).groupBy("kind", "level").agg(F.sum("s.sums").alias("total"), F.sum("s.sizes").alias("n")).where("n > 0").collect()
-    means = np.zeros((2, LEVELS))
+    means = np.zeros((ORDERS, LEVELS))
     for r in by_level:
         means[r.kind][r.level] = r.total / r.n
     total, distinct = (of[0].total, of[0].distinct) if of else (0, 0)
@@ -536,10 +629,14 @@ def _score_whole(docs: DataFrame, held_out: Column, id_col: str, text_col: str)
 
     answers = answered.where("chunk is not null").select("kind", "bucket", "chunk", "levels", "counts")
     levelled = common.materialize(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_level, _LEVELLED), "token-levels")
-    counts = np.zeros((LEVELS, RATIOS), np.int64)
-    for r in levelled.where("not held").mapInArrow(_calibrate_levels(means, scale), "level int, bin int, n long").groupBy("level", "bin").agg(F.sum("n").alias("n")).collect():
-        counts[r.level, r.bin] = r.n
-    return levelled.mapInArrow(_score_levels(means, scale, total, fit_weights(counts)), _WHOLE)
+    weights: list[np.ndarray] = []
+    for _ in range(ORDERS - 1):
+        counts = np.zeros((LEVELS, RATIOS), np.int64)
+        found = levelled.where("not held").mapInArrow(_calibrate_levels(means, scale, weights[0] if weights else None), "level int, bin int, n long")
+        for r in found.groupBy("level", "bin").agg(F.sum("n").alias("n")).collect():  # LEVELS x RATIOS rows at most
+            counts[r.level, r.bin] = r.n
+        weights.append(fit_weights(counts))
+    return levelled.mapInArrow(_score_levels(means, scale, total, weights), _WHOLE)
 
 
 def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", filter_bits: int | None = None, **options) -> DataFrame:

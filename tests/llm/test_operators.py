@@ -659,6 +659,69 @@ def test_whole_filter_base_is_exact_and_score_near_exact_counts(spark, monkeypat
     want = Counter((i, held(i), len(words(t)), sum(one[x] > 0 for x in words(t)), total, round(sum(math.log10((one[x] + 0.1) / scale) for x in words(t)), 6)) for i, t in rows)
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
     assert all(r.score <= 0 for r in got)
+    # The score by brute force, from exact counts quantised by the definition and weights fitted by the definition.
+    grams = lambda t, k: [tuple(x) for x in zip(*((["end"] * (k - 1) + words(t))[i:] for i in range(k)))]
+    counted = [Counter(g for i, t in rows if not held(i) for g in grams(t, k)) for k in (1, 2)]
+    counted.append(Counter(g for i, t in rows if not held(i) for g in grams(t, 2 + 1)[1:]))
+    level = lambda n: 1 + math.floor(math.log(n) / math.log(1.5) + 1e-9) if n else 0
+    means = []
+    for c in counted:
+        by = {}
+        for n in c.values():
+            by.setdefault(level(n), []).append(n)
+        means.append({0: 0.0} | {k: sum(v) / len(v) for k, v in by.items()})
+    mean = lambda k, g: means[k][level(counted[k][g])]
+
+    def steps(t):
+        """For each token P1 and (entry, context, level of context) of the orders two and three."""
+        w = words(t)
+        for i, x in enumerate(w):
+            v = w[i - 1] if i else "end"
+            two = (mean(1, (v, x)), mean(0, (v,)), level(counted[0][(v,)]))
+            u = w[i - 2] if i > 1 else "end"
+            three = (mean(2, (u, v, x)), mean(1, (u, v)), level(counted[1][(u, v)])) if i else (0.0, 0.0, 0)
+            yield (mean(0, (x,)) + 0.1) / scale, two, three
+
+    def fitted(samples):
+        found = np.zeros((lm.LEVELS, lm.RATIOS), np.int64)
+        for lower, (entry, context, at) in samples:
+            p = min(1.0, (entry - 1 if entry - 1 >= 1 - 1e-9 else 0) / max(1.0, context - 1))
+            found[at, int(np.clip(np.round(4 * np.log2(p / lower)) + 16, 1, lm.RATIOS - 1)) if p > 0 else 0] += 1
+        return lm.fit_weights(found)
+
+    def blend(lower, step, weights, own=0):
+        entry, context, at = step
+        l = weights[at] if context > own else 0.0  # noqa: E741
+        return (1 - l) * lower + l * min(1.0, max(0.0, entry - own) / max(1.0, context - own))
+
+    train = [s for i, t in rows if not held(i) for s in steps(t)]
+    second = fitted((p1, two) for p1, two, _ in train)
+    third = fitted((blend(p1, two, second, 1), three) for p1, two, three in train)
+    expected = Counter((i, round(sum(math.log10(blend(blend(p1, two, second), three, third)) for p1, two, three in steps(t)), 4)) for i, t in rows)
+    assert sum((Counter((r.doc_id, round(r.score, 4)) for r in got) & expected).values()) >= 0.97 * len(rows)  # the filter may err in some lookups
+
+
+def test_packed_names():
+    rnd = np.random.default_rng(2)
+    h = np.unique(rnd.integers(0, 1 << 64, 5000, dtype=np.uint64))
+    for n in (1, 2, 24, 1000):
+        bucket, name = lm.placed(h, n)
+        assert [int(x) * n >> 64 for x in h.tolist()] == bucket.tolist()
+        assert (name < 1 << 40).all() and all((np.diff(name[bucket == b].astype(np.int64)) > 0).all() for b in set(bucket.tolist()))
+        part = name[bucket == bucket[-1]]
+        assert np.array_equal(lm.unpack(lm.pack(part)), part)
+    assert len(lm.unpack(lm.pack(h[:0]))) == 0
+
+
+def test_triples_tell_what_pairs_do_not(spark):
+    rnd = random.Random(9)
+    train = []
+    for _ in range(400):  # what follows "m" depends on the word before it
+        first = rnd.choice("ab")
+        train.append(f"{first} m {'x' if first == 'a' else 'y'}")
+    rows = list(enumerate(train)) + [(1000, "a m x"), (1001, "a m y")]
+    got = {r.doc_id: r.score for r in lm.score_documents(frame(spark, rows), F.col("doc_id") >= 1000).where("doc_id >= 1000").collect()}
+    assert got[1000] > got[1001] + 1
 
 
 def test_segments_hold_every_entry():
