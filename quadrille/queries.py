@@ -499,9 +499,15 @@ def blank_ids(spark, sf_dir):
     return reports.blank_ids(e).select("event_id")
 
 
+def _load() -> None:
+    from . import warehouse_queries  # noqa: F401  (registers its queries)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_SQL)
