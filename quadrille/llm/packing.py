@@ -193,5 +193,6 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0
             extra = [pa.array(table[at, 3] + index // each, pa.int64()), pa.array(table[at, 5] + index % each * length, pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column(k) for k in range(5)] + extra, names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    ranked = pieces.join(bases, ["task", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("base")).alias("rank"))
+    # Merged: the bases grow with the number of tasks, so they are never sent to all of them.
+    ranked = pieces.join(bases.hint("merge"), ["task", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("base")).alias("rank"))
     return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
