@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.llm import minhash, packing, quality, substring
-from quadrille.llm.common import materialize, table
+from quadrille.llm.common import free_name, materialize, table
 from quadrille.llm.queries import vocabulary_path
 
 KEEP_FROM = 0.7
@@ -20,7 +20,8 @@ KEEP_FROM = 0.7
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the neighbours vote at least KEEP_FROM for; the model never sees rows held out for testing."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"), quality.remainder(F.col("doc_id"), 4) != 2)
-    return quality.score(docs, model, name="__score").where(F.col("__score") >= KEEP_FROM).drop("__score")
+    name = free_name(docs, "score")
+    return quality.score(docs, model, name=name).where(F.col(name) >= KEEP_FROM).drop(name)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

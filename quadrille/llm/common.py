@@ -81,6 +81,13 @@ def observed(df: DataFrame, tag: str, metrics: dict[str, Column], small: bool =
     return spark.read.schema(df.schema).parquet(path), seen.get
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def parallelism(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 

@@ -92,9 +92,31 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+# Parts of the queries above that SQL can express.
+
+
+def url_rule_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op6 returns for pages that a rule decides."""
+    return op6_url_filter(spark, sf_dir).where("rule is not null").select("page_id", "host", "path", "rule", "verdict")
+
+
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edited texts of op7 by their digests."""
+    return op7_multiset_hash(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8 learning from all documents: counts and the base score, to three decimals."""
+    from .lm import score_documents
+
+    found = score_documents(table(spark, sf_dir, "documents"), F.lit(False))
+    return found.select("doc_id", "n_tokens", "n_known", "train_tokens", F.round("base_score", 3).alias("base_score"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
-    return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
+    numbered = dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
+    return numbered | {f.__name__: f for f in (url_rule_verdicts, edited_texts, lm_base_scores)}
 
 
 _OP1_SQL = r"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -110,6 +132,23 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 A
   CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to FROM p LEFT JOIN g USING (payload_digest)"""
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_RULES_SQL = f"""WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), '{_UPPER}', '{_LOWER}') AS host,
+    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM pages),
+  r(verdict, h, p) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+  f AS (SELECT u.*, r.h || r.p AS rule, r.verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(r.h || r.p) DESC) AS k FROM u JOIN r ON (u.host = r.h OR ends_with(u.host, '.' || r.h)) AND starts_with(u.path, r.p))
+SELECT page_id, host, path, rule, verdict FROM f WHERE k = 1"""
+
+_EDITED_SQL = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id), '') AS n FROM documents)
+SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(substring(t, 1, length(t) - length(t) // 4) || substring(n, 1, length(t) // 4)) AS edited_sha256 FROM d"""
+
+_BASE_SQL = rf"""WITH w AS (SELECT doc_id, unnest(list_append(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^ 	-]+'), ' ')) AS word FROM documents),
+  c AS (SELECT word, count(*) AS c FROM w GROUP BY word), s AS (SELECT sum(c) AS n, count(*) AS v FROM c)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_tokens, CAST(count(*) AS BIGINT) AS n_known, CAST(any_value(n) AS BIGINT) AS train_tokens,
+  round(sum(log10(c + 0.1e0) - log10(n + 0.1e0 * (v + 1))), 3) AS base_score FROM w JOIN c USING (word), s GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express; the others are tested against brute force."""
-    return {"op1_substring_dedup": _OP1_SQL, "op2_warc": _OP2_SQL}
+    return {"op1_substring_dedup": _OP1_SQL, "op2_warc": _OP2_SQL, "url_rule_verdicts": _RULES_SQL, "edited_texts": _EDITED_SQL, "lm_base_scores": _BASE_SQL}

@@ -20,14 +20,15 @@ COLUMNS = {
     10: {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
 }
 
+OPERATORS = [n for n in llm.queries() if n.startswith("op") and n[2].isdigit()]
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
 
 
 def test_one_query_for_each_operator():
-    assert [int(n[2:].split("_")[0]) for n in llm.queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in OPERATORS] == list(range(1, 11))
 
 
-@pytest.mark.parametrize("name", list(llm.queries()))
+@pytest.mark.parametrize("name", OPERATORS)
 def test_rows_and_columns(spark, name):
     got = llm.queries()[name](spark, DATA)
     assert COLUMNS[int(name[2:].split("_")[0])] <= set(got.columns)
