@@ -188,10 +188,14 @@ class Shape:
 
     def spots(self, hashes: np.ndarray, level: int | np.ndarray, kind: int) -> Iterator[np.ndarray]:
         """Bits within the segment of each hash for a level, one array for each probe."""
-        h = common.mix(hashes + np.asarray(level).astype(U64) * _GOLDEN)
-        step = (h >> U64(32)) | U64(1)
+        first, step = self.walk(hashes, level)
         for k in range(self.probes):
-            yield ((h & U64(0xFFFFFFFF)) + U64(k) * step) % U64(self.bits[kind])
+            yield (first + U64(k) * step) % U64(self.bits[kind])
+
+    def walk(self, hashes: np.ndarray, level: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the probes of each hash for a level begin, and their steps."""
+        h = common.mix(hashes + np.asarray(level).astype(U64) * _GOLDEN)
+        return h & U64(0xFFFFFFFF), (h >> U64(32)) | U64(1)
 
 
 @dataclass
@@ -212,12 +216,11 @@ class Model:
         left = np.arange(len(hashes))
         base = ranges(hashes, self.shape.buckets) * bits
         for level in range(1, LEVELS):
-            h, b = hashes[left], base[left]
-            there = np.ones(len(left), bool)
-            for spot in self.shape.spots(h, level, kind):
-                p = b + spot.astype(np.int64)
-                there &= (data[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
-            left = left[there]
+            first, step = self.shape.walk(hashes[left], level)
+            for k in range(self.shape.probes):  # what a probe does not find is not probed again
+                p = base[left] + ((first + U64(k) * step) % U64(bits)).astype(np.int64)
+                there = (data[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+                left, first, step = left[there], first[there], step[there]
             if not len(left):
                 break
             out[left] = level
@@ -479,10 +482,17 @@ def _ask(buckets: int):
     return run
 
 
-def _set(data: np.ndarray, spots: np.ndarray) -> None:
-    """Set bits of a byte array, the lowest of a byte first."""
-    for bit in range(8):
-        data[spots[(spots & 7) == bit] >> 3] |= np.uint8(1 << bit)
+def _set(data: np.ndarray, spots: np.ndarray, page: int = 1 << 24) -> None:
+    """Set bits of a byte array, the lowest of a byte first; one page of bits at a time lies open as bytes."""
+    spots = np.sort(spots)
+    bits = 8 * len(data)
+    flags = np.zeros(min(page, bits), np.uint8)
+    for start in range(0, bits, page):
+        part = spots[np.searchsorted(spots, start) : np.searchsorted(spots, start + page)] - start
+        flags[part] = 1
+        here = data[start // 8 : (start + page) // 8]
+        here |= np.packbits(flags, bitorder="little")[: len(here)]
+        flags[part] = 0
 
 
 def segment(h: np.ndarray, n: np.ndarray) -> Model:

@@ -729,6 +729,10 @@ def test_segments_hold_every_entry():
     h = common.mix(np.arange(len(n), dtype=np.uint64))
     n[:1000] = 1000
     h, n = lm.add_up(h, n)
+    data = np.zeros(1000, np.uint8)
+    spots = np.random.default_rng(5).integers(0, 8000, 900)
+    lm._set(data, spots, page=1 << 10)
+    assert np.array_equal(np.flatnonzero(np.unpackbits(data, bitorder="little")), np.unique(spots))
     made = lm.segment(h, n)
     assert (made.levels(h, 0) >= made.shape.level(n, 0)).all()
     other = common.mix(np.arange(len(n), 2 * len(n), dtype=np.uint64))
