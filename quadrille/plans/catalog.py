@@ -34,6 +34,9 @@ from . import geoparquet
 from .geoparquet import FILES
 
 
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
 class CatalogLocked(RuntimeError):
     pass
 
@@ -46,6 +49,9 @@ class Catalog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.data, self.meta = f"{self.root}/data", f"{self.root}/meta"
+        # Spark lists files with a task for each path, up to 10,000 of them; a few for each core do that faster.
+        if spark.conf.get(_LISTING, "10000") == "10000":
+            spark.conf.set(_LISTING, str(4 * spark.sparkContext.defaultParallelism))
 
     # -- opening and properties
 
