@@ -2,8 +2,8 @@
 
 Fitting. A bounded sample of labelled rows (`sample_rows`, those with the
 smallest hashes of their ids) gives feature vectors, made on the executors:
-square roots of relative frequencies of hashed byte pairs, and a few shape
-shares (capitals, signs, digits, repeated words). A truncated
+square roots of relative frequencies of hashed words and of hashed byte pairs,
+and a few shape shares (capitals, signs, digits, repeated words). A truncated
 singular value decomposition of the sample, weighted by inverse document
 frequency, is the latent space; the sample's vectors in it, with their labels,
 are broadcast: at most sample_rows x rank numbers.
@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 
 from . import common
 
-HASHED = 1024
-SHAPES = 8
+WORDS, PAIRS, SHAPES = 512, 512, 8
+HASHED = WORDS + PAIRS
 WIDTH = HASHED + SHAPES
 
 
@@ -51,10 +51,16 @@ def features(texts: common.Texts, i: int, j: int) -> np.ndarray:
     if not len(buf):
         return out
     doc = np.repeat(np.arange(n), sizes)
-    pair = (buf[:-1].astype(np.int64) * 257 + buf[1:].astype(np.int64) * 31 + (buf[:-1] >> 3)) & (HASHED - 1)
+    pair = (buf[:-1].astype(np.int64) * 257 + buf[1:].astype(np.int64) * 31 + (buf[:-1] >> 3)) & (PAIRS - 1)
     within = doc[:-1] == doc[1:]
-    counts = np.bincount((doc[:-1] * HASHED + pair)[within], minlength=n * HASHED).reshape(n, HASHED)
-    out[:, :HASHED] = np.sqrt(counts / np.maximum(1, counts.sum(axis=1, keepdims=True)))
+
+    def frequencies(owner: np.ndarray, bucket: np.ndarray, size: int) -> np.ndarray:
+        counts = np.bincount(owner * size + bucket, minlength=n * size).reshape(n, size)
+        return np.sqrt(counts / np.maximum(1, counts.sum(axis=1, keepdims=True)))
+
+    lowered = words.hashes(lower=True)
+    out[:, :WORDS] = 0.7 * frequencies(words.text_of(), ((lowered >> np.uint64(20)) & np.uint64(WORDS - 1)).astype(np.int64), WORDS)
+    out[:, WORDS:HASHED] = frequencies(doc[:-1][within], pair[within], PAIRS)
 
     def share(mask: np.ndarray, of: np.ndarray) -> np.ndarray:
         total = np.concatenate([[0], np.cumsum(mask)])
