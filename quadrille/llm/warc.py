@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -161,10 +161,10 @@ def write_archives(pages: DataFrame, folder: str, least: int = 1000, records_per
     joined = keyed.join(F.broadcast(groups) if n_groups <= broadcast_groups else groups, "__d", "left")
     grouped = F.col("__big") & F.col("__c").isNotNull()
     joined = joined.select("__d", "page_id", "url", "payload", grouped.alias("grouped"), F.col("__to").alias("refers_to"), (grouped & F.col("page_id").eqNullSafe(F.col("__to")) & (F.xxhash64("url") == F.col("__tu"))).alias("is_top"))
-    if repeated > 1:  # the very row that is a response is there several times
-        joined = common.materialize(joined, "repeated-pages")
-        tops = joined.where("is_top").withColumn("is_top", F.row_number().over(Window.partitionBy("__d").orderBy("page_id")) == 1)
-        joined = joined.where("not is_top").unionByName(tops)
+    if repeated > 1:  # the very row that is a response is there several times: the first by place, found without payloads
+        joined = common.materialize(joined.withColumn("__row", F.monotonically_increasing_id()), "repeated-pages")
+        first = joined.where("is_top").groupBy("__d").agg(F.min("__row").alias("__row")).select("__row", F.lit(True).alias("__first"))
+        joined = joined.join(first, "__row", "left").withColumn("is_top", F.col("is_top") & F.col("__first").isNotNull())
     revisit = F.col("grouped") & ~F.col("is_top")
     joined = joined.select("page_id", "url", "payload", F.when(revisit, F.col("refers_to")).alias("refers_to"), revisit.alias("revisit"))
 
