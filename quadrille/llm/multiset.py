@@ -30,6 +30,7 @@ have 0.
 
 from __future__ import annotations
 
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -144,25 +145,44 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     The edited text has the last floor(n/4) of n code points replaced by the
     first as many (or all) of the next text. Rows with null ids come first;
-    rows of one id follow each other in the order of a hash of their content.
+    rows of one id follow each other in the order of a hash of their content
+    (and of their place, where an id has more rows than a range).
 
     Rows are dealt to ranges of ids, whose bounds are quantiles: ranges of
     about RANGE_BYTES of text, and two for each shuffle partition at least.
     This is the only shuffle of texts, and all that follows
-    happens within a range. The next row is a lead; the last row of a range
+    happens within a range. An id that fills several ranges, or null ids that
+    would, are dealt to as many by that hash. The next row is a lead; the last row of a range
     takes the first row of the next range that has rows, and that of the last
     range the very first.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     parts = 2 * common.parallelism(docs)
-    ranges = max(parts, (base.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE_BYTES)
-    found = base.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 50 * ranges)).first()[0] or []
-    ranged = base.withColumn("__b", _bucket(sorted({int(x) for x in found}), F.col("doc_id")))
+    size, rows, none = base.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    ranges = max(parts, size // RANGE_BYTES)
+    found = [int(x) for x in base.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 50 * ranges)).first()[0] or []]
+    # How many ranges an id fills: how often it is a bound. Null ids are no bounds; they are counted.
+    times = {x: n for x, n in Counter(found).items() if n > 1}
+    without_id = -(-none * ranges // rows) if rows else 0
+    dealt, tie = F.lit(1), F.xxhash64("text")
+    if times:
+        heavy = F.create_map(*[F.lit(v) for pair in times.items() for v in pair])
+        dealt = F.coalesce(F.try_element_at(heavy, F.col("doc_id")), dealt)
+    if without_id > 1:
+        dealt = F.when(F.col("doc_id").isNull(), F.lit(without_id)).otherwise(dealt)
+    ranged = base.withColumn("__n", dealt)
+    if times or without_id > 1:
+        tie = F.when(F.col("__n") > 1, F.xxhash64(tie, F.monotonically_increasing_id())).otherwise(tie)
+    ranged = ranged.withColumn("__tie", tie)
+    # Ranges within a range of ids: first the other ids, then slices of the heavy one in the order of the hash.
+    slice_of = F.floor((F.shiftright("__tie", 40) + F.lit(1 << 23)) * F.col("__n") / F.lit(1 << 24))
+    first_bound = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(_bucket(sorted(set(found)), F.col("doc_id")))
+    part = F.when(F.col("__n") > 1, 1 + slice_of).otherwise(F.lit(0))
+    ranged = ranged.withColumn("__b", first_bound.cast("long") * F.lit(1 << 24) + part)
     if ranges > parts:
         ranged = ranged.repartition(ranges, "__b")
-    tie = F.xxhash64("text")
-    order = Window.partitionBy("__b").orderBy(F.col("doc_id").asc_nulls_first(), tie)
-    firsts = ranged.groupBy("__b").agg(F.min_by("text", F.struct(F.col("doc_id"), tie)).alias("__first"))
+    order = Window.partitionBy("__b").orderBy(F.col("doc_id").asc_nulls_first(), "__tie")
+    firsts = ranged.groupBy("__b").agg(F.min_by("text", F.struct(F.col("doc_id"), F.col("__tie"))).alias("__first"))
     # One row for each range, so one task holds them all.
     ring = Window.orderBy("__b")
     first_of_all = F.first("__first").over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))

@@ -556,6 +556,25 @@ def test_multiset_fingerprints_of_edits_equal_those_of_the_edited_texts(spark):
         assert math.isclose(got[i].near_edited, likeness(own[i], other[i]), abs_tol=1e-9) and math.isclose(got[i].near_next, likeness(own[i], own[follows]), abs_tol=1e-9)
 
 
+def test_multiset_of_ids_that_fill_many_ranges(spark):
+    rnd = random.Random(8)
+    rows = [(7, f"text {k % 150} " + "x " * rnd.randint(0, 20)) for k in range(300)] + [(None, f"none {k}") for k in range(200)] + [(k, f"id {k}") for k in range(40)]
+    got = multiset.fingerprint_edits(frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_chars) for r in got) == Counter((i, len(t)) for i, t in rows)
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    edit = lambda t, u: digest(t[: len(t) - len(t) // 4] + u[: len(t) // 4])
+    of = {i: [t for j, t in rows if j == i] for i in {i for i, _ in rows}}
+    seen = {}
+    for r in got:
+        seen.setdefault(r.doc_id, []).append(r.edited_sha256)
+    for i in range(8, 39):
+        assert seen[i] == [edit(f"id {i}", f"id {i + 1}")]
+    assert seen[39][0] in {edit("id 39", t) for t in of[None]} and seen[6][0] in {edit("id 6", t) for t in of[7]}
+    for i, after in ((7, "id 8"), (None, "id 0")):  # every row is followed by another of its id, but one, by the next id
+        ends = [x for x in seen[i] if x not in {edit(t, u) for t in of[i] for u in of[i]}]
+        assert len(ends) <= 1 and all(x in {edit(t, after) for t in of[i]} for x in ends)
+
+
 def test_multiset_in_many_ranges(spark, monkeypatch):
     rows = corpus(seed=22)
     whole = {(r.doc_id, r.edited_sha256, r.near_next) for r in multiset.fingerprint_edits(frame(spark, rows)).collect()}
