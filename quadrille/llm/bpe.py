@@ -14,7 +14,10 @@ in a bounded table.
 Decoder. All entries' spellings form one byte buffer with an offset table;
 a batch of ids is decoded by gathers from it.
 
-Null and empty texts give no ids. Nothing is truncated or padded.
+Null is the empty text, which has no ids and decodes to nothing. Nothing is
+truncated or padded, whatever a text's length. Every row is encoded by itself,
+so rows that repeat an id or a text are rows of the result. Only id and text are
+read.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -56,6 +60,30 @@ def _byte_letters() -> list[str]:
 _BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+#: The parts of a vocabulary file that this encoder stands for; a file with others is refused.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_SPLIT = {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True}
+_PLAIN_MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False}
+
+
+def _check(spec: dict) -> None:
+    pre = spec.get("pre_tokenizer") or {}
+    parts = pre.get("pretokenizers") or []
+    levels = [p for p in parts if p.get("type") == "ByteLevel"]
+    bytewise = len(parts) == 2 and len(levels) == 1 and not levels[0].get("add_prefix_space") and not levels[0].get("use_regex")
+    same = {
+        "normalizer": spec.get("normalizer") == _NORMALIZER,
+        "pre_tokenizer": bytewise and parts[0] == _SPLIT,
+        "decoder": spec.get("decoder") is None,
+        "model": all(spec["model"].get(k, v) == v for k, v in _PLAIN_MODEL.items()),
+        "added_tokens": not any(t.get(k) for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")),
+    }
+    other = [k for k, v in same.items() if not v]
+    if other:
+        raise ValueError(f"this encoder does not know the file's {', '.join(other)}")
+
+
 class _Table(dict):
     """A bounded table of encoded words: when it is full it becomes the old generation, from which words in use come back."""
 
@@ -84,6 +112,7 @@ class WordBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        _check(spec)
         model = spec["model"]
         self.suffix = model["end_of_word_suffix"] or ""
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -268,10 +297,16 @@ class WordBpe:
 _LOADED: dict[str, WordBpe] = {}
 
 
+def ship(spark: SparkSession, path: str) -> str:
+    """Send a vocabulary file to all executors; the name that `load` knows it by there."""
+    spark.sparkContext.addFile(path)
+    return path.rpartition("/")[2]
+
+
 def load(path: str, words_kept: int = WordBpe.KEEP) -> WordBpe:
-    """One vocabulary for each path and worker; words_kept bounds each generation of its table of words."""
+    """One vocabulary for each file (shipped, where it is a bare name) and worker; words_kept bounds each generation of its table of words."""
     if path not in _LOADED:
-        _LOADED[path] = WordBpe(path)
+        _LOADED[path] = WordBpe(path if "/" in path else SparkFiles.get(path))
         common.keeps("bpe", _LOADED.clear)
     _LOADED[path].words.keep = words_kept
     return _LOADED[path]
@@ -279,6 +314,7 @@ def load(path: str, words_kept: int = WordBpe.KEEP) -> WordBpe:
 
 def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, ids array<int>, decoded): every text's ids and its decoded form, one row each as they come."""
+    vocabulary = ship(docs.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)
@@ -292,6 +328,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
 def encode_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256): encode_documents without shipping ids and texts."""
+    vocabulary = ship(docs.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary)

@@ -165,6 +165,7 @@ def _pieces(vocabulary: str, end_id: int, capacity: int, words_kept: int):
 def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", words_kept: int = bpe.WordBpe.KEEP) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32, sequence_id, offset), one for each piece; other columns of docs are not read."""
     spark = docs.sparkSession
+    vocabulary = bpe.ship(spark, vocabulary)
     made = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_pieces(vocabulary, end_id, capacity, words_kept), PIECES)
     pieces = common.materialize(made, "pieces")
     by_task = common.materialize(pieces.groupBy("task", "length").agg(F.count("*").alias("n")), "lengths-by-task", small=True)

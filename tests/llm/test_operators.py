@@ -325,6 +325,16 @@ def test_bpe_equals_the_library(library):
         assert own.decode_many(got, np.array([len(got)]))[0].decode() == library.decode(want, skip_special_tokens=False)
 
 
+def test_bpe_refuses_other_files(tmp_path):
+    import json
+
+    spec = json.load(open(vocabulary_path()))
+    for part, value in (("normalizer", {"type": "NFKC"}), ("decoder", {"type": "ByteLevel"}), ("pre_tokenizer", {"type": "Whitespace"}), ("model", spec["model"] | {"byte_fallback": True})):
+        (tmp_path / "other.json").write_text(json.dumps(spec | {part: value}))
+        with pytest.raises(ValueError, match=part):
+            bpe.WordBpe(str(tmp_path / "other.json"))
+
+
 def test_bpe_table_of_words_is_bounded(library):
     own = bpe.WordBpe(vocabulary_path())
     own.words.keep = 10
