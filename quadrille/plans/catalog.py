@@ -49,6 +49,8 @@ class Catalog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.data, self.meta = f"{self.root}/data", f"{self.root}/meta"
+        #: Writes data files wherever rows are written (ingest, streams, maintenance); any function like this one may take its place.
+        self.writer: Callable[..., DataFrame] = geoparquet.write_files
         # Spark lists files with a task for each path, up to 10,000 of them; a few for each core do that faster.
         if spark.conf.get(_LISTING, "10000") == "10000":
             spark.conf.set(_LISTING, str(4 * spark.sparkContext.defaultParallelism))
@@ -136,14 +138,11 @@ class Catalog:
         summed = found.groupBy("path").agg(F.count("*").alias("rows"), F.max("bytes").alias("bytes"), F.min("datetime").alias("min_datetime"), F.max("datetime").alias("max_datetime"))
         return summed.select("path", F.regexp_extract("path", "/grid_partition=([^/]*)/", 1).alias("grid_partition"), F.regexp_extract("path", "/year=([^/]*)/", 1).alias("year"), "rows", "bytes", "min_datetime", "max_datetime")
 
-    def write_rows(self, rows: DataFrame, write: Callable[..., DataFrame] = geoparquet.write_files, **options) -> DataFrame:
-        """Write fanned-out rows to new files and return their manifest rows; nothing is committed yet.
-
-        `write` may be any function like geoparquet.write_files (rows, data folder, listing folder, options).
-        """
+    def write_rows(self, rows: DataFrame, write: Callable[..., DataFrame] | None = None, **options) -> DataFrame:
+        """Write fanned-out rows to new files, by `write` or the catalogue's writer, and return their manifest rows; nothing is committed yet."""
         now = self.current()
         listing = f"{self.meta}/written/{uuid.uuid4().hex[:12]}"
-        return write(rows, self.data, listing, number=(now["id"] if now else 0) + 1, **options)
+        return (write or self.writer)(rows, self.data, listing, number=(now["id"] if now else 0) + 1, **options)
 
     def append(self, rows: DataFrame, action: str = "append", **options) -> int:
         added = self.write_rows(rows, **options)

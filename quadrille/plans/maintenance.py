@@ -205,6 +205,9 @@ def expire(catalog: Catalog, grace_hours: float = 24.0) -> int:
     for s in gone:
         io.remove(catalog.spark, f"{catalog.meta}/snapshots/{s['id']:08d}.json")
         io.remove(catalog.spark, s["manifest"])
+    for name in io.list_names(catalog.spark, f"{catalog.meta}/written"):  # what writers listed before their commits
+        if io.modified_at(catalog.spark, f"{catalog.meta}/written/{name}") <= late:
+            io.remove(catalog.spark, f"{catalog.meta}/written/{name}")
     return len(gone)
 
 

@@ -382,6 +382,10 @@ def test_geo_footer_writer(spark, catalog):
         return geoparquet.write_files(rows, data, listing, **options)
 
     assert catalog.write_rows(rows, own_writer, kind="other").count() > 0 and seen == ["other"]
+    catalog.writer = own_writer
+    catalog.append(rows, kind="part")
+    maintenance.compact(catalog)
+    assert seen == ["other", "part", "compacted"]
 
 
 def test_reports_of_a_catalogue(spark, catalog, tmp_path):
