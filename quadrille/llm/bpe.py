@@ -299,6 +299,7 @@ _LOADED: dict[str, WordBpe] = {}
 
 def ship(spark: SparkSession, path: str) -> str:
     """Send a vocabulary file to all executors; the name that `load` knows it by there."""
+    common.small_batches(spark)
     spark.sparkContext.addFile(path)
     return path.rpartition("/")[2]
 

@@ -81,6 +81,16 @@ def observed(df: DataFrame, tag: str, metrics: dict[str, Column], small: bool =
     return spark.read.schema(df.schema).parquet(path), seen.get
 
 
+BATCH_ROWS = 1024
+_BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark hand whole texts to Python some thousand at a time, where the session has its default of ten thousand."""
+    if spark.conf.get(_BATCHES, "10000") == "10000":
+        spark.conf.set(_BATCHES, str(BATCH_ROWS))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that df does not have."""
     while name in df.columns:
@@ -291,6 +301,7 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 def row_keys(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Columns __id and __rk, which name a row by its id and text: rows of one id with other texts stay apart."""
+    small_batches(df.sparkSession)
     return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("__id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("__rk"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
 

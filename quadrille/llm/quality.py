@@ -152,6 +152,7 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = 4096, rank: int = 64, neighbours: int = 9, sharpness: float = 30.0) -> Model:
     """A model from the labelled rows that `learn` (a condition on doc_id) lets in."""
+    common.small_batches(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & learn)
     rows = known.groupBy("doc_id").agg((F.avg("y") >= 0.5).cast("double").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     chosen = common.materialize(rows, "labels")
@@ -185,6 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
     """docs with a column of scores, in the place of one of that name if there is one; all other columns stay as they are."""
+    common.small_batches(docs.sparkSession)
     if name in docs.columns and name != text_col:
         docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # sample_rows x rank numbers

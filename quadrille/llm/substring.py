@@ -175,7 +175,7 @@ def repeated_runs(keyed: DataFrame, least: int, seed: int) -> DataFrame:
 def _cut(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.make_room("substring")
-        for batch in (whole.slice(start, 512) for whole in batches for start in range(0, whole.num_rows, 512)):
+        for batch in (whole.slice(start, common.BATCH_ROWS) for whole in batches for start in range(0, whole.num_rows, common.BATCH_ROWS)):
             counts, gone, digests, kept_texts = [], [], [], []
             for text, runs in zip(batch.column("__text"), batch.column("__runs")):
                 words = (text.as_py() or "").encode().split()

@@ -144,6 +144,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 1000, records_per
     smallest page hashes, of each at most its first `sample_bytes` bytes.
     """
     spark = pages.sparkSession
+    common.small_batches(spark)
     base = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
