@@ -502,9 +502,16 @@ def segment(h: np.ndarray, n: np.ndarray) -> Model:
     bits = max(64, math.ceil(shape.probes * int(level.sum()) / SPARSE / 64) * 64)
     shape.bits = (bits, bits)
     data = np.zeros(bits // 8, np.uint8)
+    waiting, room = [], 0
     for k in range(1, int(level.max()) + 1 if len(level) else 0):
         for spot in shape.spots(h[level >= k], k, 0):
-            _set(data, spot.astype(np.int64))
+            waiting.append(spot.astype(np.int64))
+            room += len(spot)
+        if room >= 1 << 22:
+            _set(data, np.concatenate(waiting))
+            waiting, room = [], 0
+    if waiting:
+        _set(data, np.concatenate(waiting))
     sums = np.bincount(level, weights=n, minlength=LEVELS)[:LEVELS]
     sizes = np.bincount(level, minlength=LEVELS)[:LEVELS]
     return Model(shape, (data, data), np.array([sums, sizes]), int(n.sum()), len(n), (h[:0], n[:0]), 1)
