@@ -180,15 +180,11 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        first = np.searchsorted(table[:, 0], np.arange(capacity + 2))  # where a length's matches start
+        known = (table[:, 0] << 40) + table[:, 1]  # ascending by length and first rank
         for batch in batches:
             length = batch.column("length").to_numpy()
             rank = batch.column("rank").to_numpy(zero_copy_only=False)
-            at = np.empty(len(length), np.int64)
-            for n in np.unique(length):
-                mine = length == n
-                lo, hi = first[n], first[n + 1]
-                at[mine] = lo + np.searchsorted(table[lo:hi, 1], rank[mine], "right") - 1
+            at = np.searchsorted(known, (length << 40) + rank, "right") - 1
             index = rank - table[at, 1]
             each = table[at, 4]
             extra = [pa.array(table[at, 3] + index // each, pa.int64()), pa.array(table[at, 5] + index % each * length, pa.int64())]
